@@ -39,7 +39,7 @@ def to_utc_timestamp(column: Column) -> Column:
 
 
 def date_text(column: Column) -> Column:
-    return F.date_format(column, "yyyy-MM-dd")
+    return F.to_date(column).cast("string")
 
 
 def hour_label(hour: Column) -> Column:

@@ -132,27 +132,20 @@ def weather_from_decision_table(decisions: DataFrame) -> DataFrame:
 def corridor_labels(trips: DataFrame, routes: DataFrame, order: str = "trip_id") -> DataFrame:
     """A readable corridor per route: its first two distinct headsign endpoints.
 
-    Headsigns are reduced to distinct endpoints before any ranking and only
-    two rows per route survive the ranking, so no route's trips are gathered
-    in one place.  ``order`` replaces the file order the labels depend on.
+    Headsigns are reduced to distinct endpoints where they are read, and the
+    ranking passes on two rows per route, so no route's trips are gathered in
+    one place.  ``order`` replaces the file order the labels depend on.
     """
-    headsign = F.trim("trip_headsign")
-    signs = (
-        trips.filter(F.col("route_id").isNotNull() & headsign.isNotNull() & (headsign != ""))
-        .groupBy("route_id", headsign.alias("headsign"))
-        .agg(F.min(order).alias("seen"))
-    )
-    parts = F.split(F.replace("headsign", F.lit(" to "), F.lit(" To ")), " To ", 2)
+    parts = F.split(F.replace(F.trim("trip_headsign"), F.lit(" to "), F.lit(" To ")), " To ", 2)
+    # A route whose headsigns are all blank stays, with a null endpoint that ranks last.
     endpoints = (
-        signs.select("route_id", "seen", F.posexplode(parts).alias("side", "endpoint"))
-        .withColumn("endpoint", F.trim("endpoint"))
-        .filter(F.col("endpoint") != "")
-        .groupBy("route_id", "endpoint")
+        trips.filter(F.col("route_id").isNotNull())
+        .select("route_id", F.col(order).alias("seen"), F.posexplode_outer(parts).alias("side", "endpoint"))
+        .groupBy("route_id", blank_to_null(F.trim("endpoint")).alias("endpoint"))
         .agg(F.min(F.struct("seen", "side")).alias("seen"))
     )
-    ranked = endpoints.withColumn(
-        "place", F.row_number().over(W.partitionBy("route_id").orderBy("seen", "endpoint"))
-    ).filter(F.col("place") <= 2)
+    by_sight = W.partitionBy("route_id").orderBy(F.col("endpoint").isNull(), "seen", "endpoint")
+    ranked = endpoints.withColumn("place", F.row_number().over(by_sight)).filter(F.col("place") <= 2)
     pairs = ranked.groupBy("route_id").agg(
         F.concat_ws(
             " / ",
@@ -160,27 +153,18 @@ def corridor_labels(trips: DataFrame, routes: DataFrame, order: str = "trip_id")
             F.max(F.when(F.col("place") == 2, F.col("endpoint"))),
         ).alias("corridor")
     )
-    known = trips.filter(F.col("route_id").isNotNull()).select("route_id").distinct()
     names = routes.groupBy("route_id").agg(F.min("route_short_name").alias("short"))
     label = F.coalesce("short", "route_id")
     corridor = F.coalesce(blank_to_null(F.col("corridor")), label)
-    return (
-        known.join(names, "route_id", "left")
-        .join(pairs, "route_id", "left")
-        .select(
-            "route_id",
-            F.when(corridor != label, F.concat(label, F.lit(" - "), corridor)).otherwise(label).alias(
-                "route_corridor_name"
-            ),
-        )
-    )
+    named = F.when(corridor != label, F.concat(label, F.lit(" - "), corridor)).otherwise(label)
+    return pairs.join(names, "route_id", "left").select("route_id", named.alias("route_corridor_name"))
 
 
 def corridor_lookup(routes: DataFrame, corridors: DataFrame) -> DataFrame:
     """Corridor for every route of the schedule; short name, then id, where trips give none."""
     named = unique_routes(routes.select("route_id", "route_short_name")).join(corridors, "route_id", "left")
-    return named.groupBy("route_id").agg(
-        F.min(F.coalesce("route_corridor_name", "route_short_name", "route_id")).alias("route_corridor_name")
+    return named.select(
+        "route_id", F.coalesce("route_corridor_name", "route_short_name", "route_id").alias("route_corridor_name")
     )
 
 

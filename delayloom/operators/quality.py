@@ -34,9 +34,9 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = (), digits: int = 6)
     grouped = (counted.groupBy(*by) if by else counted).agg(
         F.sum(w).alias("count"),
         mean.alias("mean"),
-        F.min(v).alias("min"),
+        F.min(v).cast("double").alias("min"),
         *(quartile[q].alias(name) for q, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))),
-        F.max(v).alias("max"),
+        F.max(v).cast("double").alias("max"),
         F.sum(v * v * w).alias("_squares"),
     )
     variance = (F.col("_squares") - F.col("count") * F.col("mean") * F.col("mean")) / F.nullif(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from delayloom.functions.measures import mean_minutes, observed_seconds, one_row
+from delayloom.session import ensure_checkpoint_dir
 
 
 def hourly_mean(df: DataFrame, by: Sequence[str] = (), time: str = "collection_time_utc") -> DataFrame:
@@ -100,8 +101,13 @@ MIN_HOURS = 30
 
 
 def hourly_series(df: DataFrame) -> DataFrame:
-    """Gap-free hourly mean delay, positioned and split."""
-    return split_by_position(interpolate_hourly(hourly_mean(df)))
+    """Gap-free hourly mean delay, positioned and split.
+
+    The forecasts read the series several times, so it is checkpointed: the
+    observations are scanned once and only the small series is read again.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return split_by_position(interpolate_hourly(hourly_mean(df)).checkpoint())
 
 
 def ar1_coefficients(split: DataFrame) -> DataFrame:

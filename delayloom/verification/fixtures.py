@@ -259,5 +259,12 @@ class DriverTables:
         )
 
 
+_OPEN: dict[tuple[str, str], DriverTables] = {}
+
+
 def driver_tables(spark: SparkSession, folder: str) -> DriverTables:
-    return DriverTables(spark, folder)
+    """The tables of a folder; their plans (no data) are shared by all queries of a session."""
+    key = (f"{spark.sparkContext.applicationId}/{id(spark)}", folder)
+    if key not in _OPEN:
+        _OPEN[key] = DriverTables(spark, folder)
+    return _OPEN[key]

@@ -381,11 +381,11 @@ _DESCRIBE = ", ".join(
         "COUNT({0}) AS count",
         f"{_r('CAST(SUM({0}) AS DOUBLE) / COUNT({0})', 6)} AS mean",
         f"{_r('stddev_samp({0})', 6)} AS std",
-        f"{_r('MIN({0})', 6)} AS min",
+        f"{_r('CAST(MIN({0}) AS DOUBLE)', 6)} AS min",
         f"{_r('quantile_cont({0}, 0.25)', 6)} AS q25",
         f"{_r('quantile_cont({0}, 0.5)', 6)} AS median",
         f"{_r('quantile_cont({0}, 0.75)', 6)} AS q75",
-        f"{_r('MAX({0})', 6)} AS max",
+        f"{_r('CAST(MAX({0}) AS DOUBLE)', 6)} AS max",
     ]
 )
 
@@ -779,7 +779,7 @@ _BODIES = {
         importance, notes FROM importance WHERE explainability_type = 'mean_abs_shap'
         ORDER BY importance.importance DESC, importance.feature, source, notes LIMIT 10""",
     "feature_lookup": _LOOKUP,
-    "prepare_features": f"""SELECT *, {_feature_class('display_feature')} AS category, printf('%.3f', importance) AS importance_label
+    "prepare_features": f"""SELECT *, {_feature_class('display_feature')} AS category, CAST(CAST(ROUND(CAST(CAST(importance AS VARCHAR) AS DECIMAL(38, 18)), 3) AS DECIMAL(38, 3)) AS VARCHAR) AS importance_label
         FROM (SELECT *, {_feature_text('feature')} AS display_feature FROM importance)""",
     "importance_by_category": f"""SELECT category, CAST(total AS DOUBLE) AS importance, feature_count,
         {_pct('CAST(total AS DOUBLE)', 'SUM(CAST(total AS DOUBLE)) OVER ()', 1)} AS share_pct FROM (
