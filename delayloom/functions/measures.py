@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SIX_DECIMALS = "decimal(18,6)"
@@ -168,3 +168,9 @@ def with_share(
 def one_row(df: DataFrame) -> Column:
     """A one-row table as a scalar struct column; its fields share one subquery, hence one scan."""
     return df.select(F.struct("*").alias("row")).scalar()
+
+
+def rule_rows(spark: SparkSession, columns: Sequence[str], values: Sequence[Sequence]) -> DataFrame:
+    """A small rule table as rows, planned inside the JVM (no Python data is shipped)."""
+    structs = [F.struct(*(F.lit(v).alias(c) for c, v in zip(columns, row))) for row in values]
+    return spark.range(1).select(F.inline(F.array(*structs)))

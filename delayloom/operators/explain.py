@@ -16,16 +16,22 @@ from delayloom import rules, schemas
 from delayloom.operators.features import min_max_normalise
 from delayloom.operators.model_prep import SEED, draw
 from delayloom.operators.models import TARGET, TrainedModel, score_class
+from delayloom.session import ensure_checkpoint_dir
 
 MAX_EXPLAINED_ROWS = 1_000
 MAX_POINT_ROWS = 400
 
 
 def seeded_rows(df: DataFrame, key: Sequence[str], limit: int, seed: int = SEED) -> DataFrame:
-    """A fixed choice of ``limit`` rows, numbered from 0, whatever the partitioning."""
+    """A fixed choice of ``limit`` rows, numbered from 0, whatever the partitioning.
+
+    Only this many rows are ever ordered together; they are stored because
+    every explanation reads them several times.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     chosen = df.withColumn("_draw", draw(key, seed)).orderBy("_draw", *key).limit(limit)
     place = F.row_number().over(W.orderBy("_draw", *key)) - 1
-    return chosen.withColumn("row_id", place).drop("_draw")
+    return chosen.withColumn("row_id", place).drop("_draw").checkpoint()
 
 
 def _altered_copies(sample: DataFrame, replacements: dict, features: Sequence[str]) -> DataFrame:
@@ -62,38 +68,33 @@ def permutation_importance(
     p = F.greatest(F.least(F.col("predicted_actionable_probability"), F.lit(1 - 1e-15)), F.lit(1e-15))
     loss = -F.when(F.col(target) == 1, F.log(p)).otherwise(F.log(1 - p))
     losses = scored.groupBy("altered").agg(F.avg(loss).alias("loss"), F.count(F.lit(1)).alias("rows"))
-    base = losses.filter(F.col("altered") == "").select("loss").scalar()
-    return losses.filter(F.col("altered") != "").select(
+    # One row per feature, so the whole table is a window.
+    base = F.max(F.when(F.col("altered") == "", F.col("loss"))).over(W.partitionBy())
+    return losses.withColumn("base", base).filter(F.col("altered") != "").select(
         F.lit("GBT classifier").alias("source"),
         F.lit("permutation_importance").alias("explainability_type"),
         F.col("altered").alias("feature"),
-        (F.col("loss") - base).alias("importance"),
+        (F.col("loss") - F.col("base")).alias("importance"),
         F.concat(F.lit("Rise of the log loss on "), F.col("rows").cast("string"), F.lit(" test rows.")).alias("notes"),
     )
 
 
-def contributions(
-    model: TrainedModel,
-    test: DataFrame,
-    key: Sequence[str],
-    features: Sequence[str] = schemas.FEATURES,
-    limit: int = MAX_EXPLAINED_ROWS,
-    seed: int = SEED,
-) -> DataFrame:
-    """Change of the probability when one feature takes its typical training value: (row_id, feature, shap_value)."""
-    sample = seeded_rows(test, key, limit, seed)
+def contributions(model: TrainedModel, sample: DataFrame, features: Sequence[str] = schemas.FEATURES) -> DataFrame:
+    """Change of the probability when one feature takes its typical training value.
+
+    ``sample`` comes from ``seeded_rows``; the result is (row_id, feature, shap_value).
+    """
     typical = {
         **{name: F.lit(value) for name, value in model.encoding.medians.items()},
         **{name: F.lit(value) for name, value in model.encoding.modes.items()},
     }
     scored = score_class(model, _altered_copies(sample, typical, features))
     probability = F.col("predicted_actionable_probability")
-    base = scored.filter(F.col("altered") == "").select("row_id", probability.alias("_base"))
+    untouched = F.max(F.when(F.col("altered") == "", probability)).over(W.partitionBy("row_id"))
     return (
-        scored.filter(F.col("altered") != "")
-        .select("row_id", F.col("altered").alias("feature"), probability.alias("_p"))
-        .join(base, "row_id")
-        .select("row_id", "feature", (F.col("_base") - F.col("_p")).alias("shap_value"))
+        scored.select("row_id", "altered", (untouched - probability).alias("shap_value"))
+        .filter(F.col("altered") != "")
+        .withColumnRenamed("altered", "feature")
     )
 
 
@@ -109,13 +110,13 @@ def contribution_points(
 ) -> DataFrame:
     """Long points behind a contribution plot: the top features by mean absolute contribution."""
     features = list(subset) if subset is not None else [n for n in schemas.FEATURES if n not in exclude]
-    rows = contributions(model, test, key, features, seed=seed)
+    sample = seeded_rows(test, key, MAX_EXPLAINED_ROWS, seed)
+    rows = contributions(model, sample, features).checkpoint()
     means = rows.groupBy("feature").agg(F.avg(F.abs("shap_value")).alias("mean_abs"))
     if subset is None:
         means = means.orderBy(F.desc("mean_abs"), "feature").limit(top_n)
-    sample = seeded_rows(test, key, MAX_EXPLAINED_ROWS, seed).filter(F.col("row_id") < max_rows)
     numeric = [F.struct(F.lit(n).alias("feature"), _as_number(n).alias("value")) for n in features]
-    values = sample.select("row_id", F.inline(F.array(*numeric)))
+    values = sample.filter(F.col("row_id") < max_rows).select("row_id", F.inline(F.array(*numeric)))
     points = rows.join(means, "feature").join(values, ["row_id", "feature"])
     scaled = min_max_normalise(points)
     return scaled.select("feature", "shap_value", "value_norm", "mean_abs", F.col("row_id").cast("int").alias("row_id"))

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 
 from delayloom import rules, schemas
 from delayloom.functions.measures import one_row
+from delayloom.session import ensure_checkpoint_dir
 
 MAX_MODEL_ROWS = 200_000
 TEST_DATE_SHARE = 0.2
@@ -197,7 +198,9 @@ def fit_encoding(
     if usable:
         imputer = Imputer(strategy="median", inputCols=usable, outputCols=[f"{n}_filled" for n in usable])
         medians.update(imputer.fit(doubles).surrogateDF.first().asDict())
-    table = category_table(train, columns, min_rows) if categories is None else categories
+    # One row per category: stored, since every scoring plan joins it once per column.
+    ensure_checkpoint_dir(train.sparkSession)
+    table = category_table(train, columns, min_rows).checkpoint() if categories is None else categories
     modes = {
         row.feature: row.category
         for row in table.groupBy("feature")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -80,6 +81,22 @@ def _booster(kind, settings: TreeSettings, **columns):
     )
 
 
+def _fit(prepared: DataFrame, encoding: FittedEncoding, booster) -> TrainedModel:
+    """Fit the stages over one stored copy of the columns they read.
+
+    Indexing and every boosting round pass over the same rows; the copy spills
+    to disk, is rebuilt from the training table if an executor is lost, and is
+    released afterwards.
+    """
+    wanted = [*(f"{name}_bucket" for name in encoding.columns), *encoding.numbers]
+    extra = [name for name in ("label", "weight") if name in prepared.columns]
+    stored = prepared.select(*wanted, *extra).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return TrainedModel(encoding, Pipeline(stages=[*_stages(encoding), booster]).fit(stored))
+    finally:
+        stored.unpersist()
+
+
 def train_classifier(
     train: DataFrame, settings: TreeSettings = CLASSIFIER, encoding: FittedEncoding | None = None, target: str = TARGET
 ) -> TrainedModel:
@@ -93,8 +110,7 @@ def train_classifier(
             "weight": F.when(F.col(target) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)),
         }
     )
-    booster = _booster(GBTClassifier, settings, labelCol="label", weightCol="weight")
-    return TrainedModel(encoding, Pipeline(stages=[*_stages(encoding), booster]).fit(prepared))
+    return _fit(prepared, encoding, _booster(GBTClassifier, settings, labelCol="label", weightCol="weight"))
 
 
 def train_regressor(
@@ -103,8 +119,7 @@ def train_regressor(
     ensure_checkpoint_dir(train.sparkSession)
     encoding = encoding or fit_encoding(train)
     prepared = encoding.apply(train).withColumn("label", F.col(value).cast("double"))
-    booster = _booster(GBTRegressor, settings, labelCol="label")
-    return TrainedModel(encoding, Pipeline(stages=[*_stages(encoding), booster]).fit(prepared))
+    return _fit(prepared, encoding, _booster(GBTRegressor, settings, labelCol="label"))
 
 
 def score_class(model: TrainedModel, df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from delayloom import rules
 from delayloom.functions import labels
-from delayloom.functions.measures import mean_six_decimals, modal, with_share
+from delayloom.functions.measures import mean_six_decimals, modal, rule_rows, with_share
 from delayloom.operators.enrich import first_per_key
 from delayloom.operators.filters import DEFAULT, DashboardFilter
 from delayloom.operators.network import actionable
@@ -63,9 +63,8 @@ def _timing_counts(source: DataFrame) -> DataFrame:
 
 def timing_mix(ai: DataFrame, where: DashboardFilter = DEFAULT) -> DataFrame:
     """Early, near and late shares; three zero rows when nothing passes the filter."""
-    bands = ai.sparkSession.createDataFrame(
-        [(name, place) for place, name in enumerate(rules.TIMING_ORDER)], "timing_band string, place int"
-    )
+    ranked = [(name, place) for place, name in enumerate(rules.TIMING_ORDER)]
+    bands = rule_rows(ai.sparkSession, ["timing_band", "place"], ranked)
     counts = _timing_counts(where.apply(ai))
     anything = F.coalesce(counts.agg(F.sum("records").alias("n")).scalar(), F.lit(0)) > 0
     return (

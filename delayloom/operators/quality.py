@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from delayloom import rules, schemas
 from delayloom.functions import labels
-from delayloom.functions.measures import one_row, percent
+from delayloom.functions.measures import one_row, percent, rule_rows
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -120,7 +120,7 @@ def invalid_pairs(df: DataFrame, risk: str = "delay_risk", action: str = "recomm
                   rule_table: Mapping[str, str] = rules.ACTION_BY_RISK) -> DataFrame:
     """Observed pairs the rule table does not hold."""
     observed = df.select(risk, action).distinct()
-    allowed = df.sparkSession.createDataFrame(list(rule_table.items()), f"{risk} string, {action} string")
+    allowed = rule_rows(df.sparkSession, [risk, action], list(rule_table.items()))
     return observed.exceptAll(allowed)
 
 

@@ -19,6 +19,7 @@ from delayloom.functions.measures import (
     one_row,
     one_step,
     rows,
+    rule_rows,
     smallest,
     tally,
     two_step,
@@ -185,8 +186,8 @@ def top_delayed_routes_by_record_mean(decisions: DataFrame, limit: int = 20) ->
 
 
 def risk_classes(spark) -> DataFrame:
-    return spark.createDataFrame([(name, place) for place, name in enumerate(rules.RISK_ORDER, 1)],
-                                 "delay_risk string, risk_rank int")
+    ranked = [(name, place) for place, name in enumerate(rules.RISK_ORDER, 1)]
+    return rule_rows(spark, ["delay_risk", "risk_rank"], ranked)
 
 
 def risk_distribution(df: DataFrame, column: str = "delay_risk") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from delayloom import rules
+from delayloom.functions.measures import rule_rows
 from delayloom.operators import cleaning, enrich, summaries
 from delayloom.sources import writers
 
@@ -49,6 +50,4 @@ def intervention_logic(spark: SparkSession) -> DataFrame:
     rows = [
         (risk, rule, rules.ACTION_BY_RISK[risk], meaning) for risk, rule, meaning in rules.INTERVENTION_LOGIC
     ]
-    return spark.createDataFrame(
-        rows, "delay_risk string, delay_minutes_rule string, recommended_action string, operational_meaning string"
-    )
+    return rule_rows(spark, ["delay_risk", "delay_minutes_rule", "recommended_action", "operational_meaning"], rows)
