@@ -41,6 +41,30 @@ def _scheduled_id(key: str) -> Column:
     return _text(F.col(key), "-20", F.col(key) % 5)
 
 
+def observations_of(events: DataFrame) -> DataFrame:
+    user, event = F.col("user_id"), F.col("event_id")
+    when = F.col("ts").cast("timestamp")
+    seconds = (F.round(F.col("value") * 100).cast("bigint") * 7) % 3600 - 1200 + F.when(
+        event % 97 == 0, F.lit(9000)
+    ).otherwise(F.lit(0))
+    return events.select(
+        when.alias("collection_time_utc"),
+        _text("E", event).alias("entity_id"),
+        _text("T", user, "-", event % 40).alias("trip_id"),
+        F.when(user % 11 == 0, _text("S", user)).otherwise(_scheduled_id("user_id")).alias("route_id"),
+        (event % 2).alias("direction_id"),
+        F.date_format(when, "HH:00:00").alias("start_time"),
+        F.date_format(when, "yyyyMMdd").cast("bigint").alias("start_date"),
+        F.unix_seconds(when).alias("timestamp"),
+        seconds.alias("delay_seconds"),
+        (event % 100 == 0).alias("is_deleted"),
+        date_text(when).alias("collection_date"),
+        _text("gtfs_realtime_", date_text(when), ".csv").alias("source_file"),
+        event.alias("event_id"),
+        user.alias("user_id"),
+    ).withColumn("delay_minutes", F.col("delay_seconds") / 60)
+
+
 @dataclass(frozen=True)
 class DriverTables:
     """Lazy domain tables over one driver folder."""
@@ -55,31 +79,14 @@ class DriverTables:
     @cached_property
     def observations(self) -> DataFrame:
         """Cleaned observations before enrichment."""
-        user, event = F.col("user_id"), F.col("event_id")
-        when = F.col("ts").cast("timestamp")
-        seconds = (F.round(F.col("value") * 100).cast("bigint") * 7) % 3600 - 1200 + F.when(
-            event % 97 == 0, F.lit(9000)
-        ).otherwise(F.lit(0))
-        return (
-            self.table("events")
-            .select(
-                when.alias("collection_time_utc"),
-                _text("E", event).alias("entity_id"),
-                _text("T", user, "-", event % 40).alias("trip_id"),
-                F.when(user % 11 == 0, _text("S", user)).otherwise(_scheduled_id("user_id")).alias("route_id"),
-                (event % 2).alias("direction_id"),
-                F.date_format(when, "HH:00:00").alias("start_time"),
-                F.date_format(when, "yyyyMMdd").cast("bigint").alias("start_date"),
-                F.unix_seconds(when).alias("timestamp"),
-                seconds.alias("delay_seconds"),
-                (event % 100 == 0).alias("is_deleted"),
-                date_text(when).alias("collection_date"),
-                _text("gtfs_realtime_", date_text(when), ".csv").alias("source_file"),
-                event.alias("event_id"),
-                user.alias("user_id"),
-            )
-            .withColumn("delay_minutes", F.col("delay_seconds") / 60)
-        )
+        return observations_of(self.table("events"))
+
+    @cached_property
+    def observation_stream(self) -> DataFrame:
+        """The same observations as a file stream."""
+        apply_session_defaults(self.spark)
+        events = self.spark.readStream.schema(self.table("events").schema).option("pathGlobFilter", "events.parquet")
+        return observations_of(events.parquet(self.folder))
 
     @cached_property
     def raw_text(self) -> DataFrame:

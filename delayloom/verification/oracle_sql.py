@@ -822,6 +822,9 @@ _BODIES = {
         AS scale_pos_weight FROM {_TRAIN}""",
     "classification_metrics": _class_metrics(_TEST),
     "regression_metrics": _delay_metrics(_TEST),
+    "stream_hourly": f"""SELECT {_HOUR_TEXT}, route_id, COUNT(*) AS records, {_r(_mean('delay_seconds'), 6)} AS avg_delay_minutes,
+        MAX(delay_seconds) AS max_delay_seconds FROM (SELECT *, date_trunc('hour', collection_time_utc) AS hour FROM obs)
+        WHERE hour + INTERVAL 2 HOUR <= (SELECT MAX(collection_time_utc) FROM obs) GROUP BY hour, route_id""",
     "intervention_priority": f"""SELECT route_id, COUNT(trip_id) AS total_cases, {_r('AVG(actual_arrival_delay_min)', 6)} AS avg_delay_min,
         MAX(actual_arrival_delay_min) AS max_delay_min, {_r('AVG(traffic_congestion_index)', 6)} AS avg_congestion FROM cases GROUP BY 1""",
     "scenario_stats": f"""SELECT {_r('AVG(actual_arrival_delay_min)', 6)} AS mean_actual_arrival_delay_min,

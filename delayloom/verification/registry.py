@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from delayloom.operators import (
 )
 from delayloom.plans import training
 from delayloom.session import ensure_checkpoint_dir
+from delayloom.streaming import feeds
 from delayloom.verification.fixtures import FOCUS_BUS_ROUTE, FOCUS_ROUTE, DriverTables, driver_tables
 
 Query = Callable[[DriverTables], DataFrame]
@@ -261,6 +263,21 @@ def _contribution_points(d: DriverTables) -> DataFrame:
     return explain.contribution_points(classifier, test, _MODEL_KEY)
 
 
+def _stream_hourly(d: DriverTables) -> DataFrame:
+    """Hourly delays from a file stream run to its end; hours still inside the watermark stay open."""
+    run = f"{ensure_checkpoint_dir(d.spark)}/stream-hourly-{uuid.uuid4().hex}"
+    hourly = feeds.hourly_delay(d.observation_stream)
+    query = (
+        hourly.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{run}/state")
+        .trigger(availableNow=True)
+        .start(f"{run}/rows")
+    )
+    query.awaitTermination()
+    return _text_times(d.spark.read.schema(hourly.schema).parquet(f"{run}/rows"), "hour")
+
+
 QUERIES: dict[str, Query] = {
     # network
     "decision_summary": lambda d: network.decision_summary(d.ai),
@@ -430,6 +447,8 @@ QUERIES: dict[str, Query] = {
     "scenario_compare": _comparison,
     "scenario_improvement": lambda d: scenario.scenario_improvement(_comparison(d)),
     "scenario_results": lambda d: scenario.scenario_results(_comparison(d)),
+    # streaming
+    "stream_hourly": _stream_hourly,
     # rows-only: trained models
     "gbt_classifier": _gbt_metrics,
     "gbt_regressor": _gbt_delays,
