@@ -158,7 +158,9 @@ PROTOTYPE_WEATHER_NAMES = {
 def weather_rows(documents: DataFrame, prototype_names: bool = False) -> DataFrame:
     """Hourly rows from the column-array document; the first row of a repeated hour stays."""
     names = [name for name in documents.schema["hourly"].dataType.names if name != "time"]
-    arrays = [F.col(f"hourly.{name}") for name in ("time", *names)]
+    # A variable the file lacks becomes an empty array, which zips to nulls.
+    empty = F.array().cast("array<double>")
+    arrays = [F.col("hourly.time"), *(F.coalesce(F.col(f"hourly.{name}"), empty).alias(name) for name in names)]
     rows = documents.select(F.posexplode(F.arrays_zip(*arrays)).alias("place", "row")).select(
         "place", to_utc_timestamp(F.col("row.time")).alias("weather_hour"), *(F.col(f"row.{name}") for name in names)
     )

@@ -13,7 +13,8 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
+           "spark.sql.maxMetadataStringLength": "5000"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
