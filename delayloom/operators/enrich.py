@@ -2,9 +2,7 @@
 
 Every lookup is made unique on its key by an aggregation.  Catalyst knows the
 key is unique and removes the join from queries that use none of its columns.
-Lookups carry no broadcast hint: Spark broadcasts one while its measured size
-is below the session thresholds, and otherwise sort-merges with AQE splitting
-skewed keys.
+Which of them may be broadcast is decided in ``functions.lookups``.
 """
 
 from __future__ import annotations
@@ -17,6 +15,7 @@ from pyspark.sql import Window as W
 
 from delayloom import rules, schemas
 from delayloom.functions import labels
+from delayloom.functions.lookups import calendar_bounded
 from delayloom.functions.parsing import blank_to_null, local_wall_clock, to_double, to_long, to_utc_timestamp
 from delayloom.operators.cleaning import require_columns
 
@@ -36,7 +35,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 
 def attach_completeness(obs: DataFrame, manifest: DataFrame) -> DataFrame:
-    return obs.join(unique_rows(manifest, "collection_date", COMPLETENESS_COLUMNS), "collection_date", "left")
+    days = calendar_bounded(unique_rows(manifest, "collection_date", COMPLETENESS_COLUMNS))
+    return obs.join(days, "collection_date", "left")
 
 
 def attach_file_stats(daily: DataFrame, stats: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def attach_weather(
 ) -> DataFrame:
     """Weather of the UTC hour of collection; null where the hour has no weather."""
     when = F.col("collection_time_utc") if time is None else time
-    hourly = weather_by_hour(weather, columns)
+    hourly = calendar_bounded(weather_by_hour(weather, columns))
     return obs.withColumn("weather_hour", F.date_trunc("hour", when)).join(hourly, "weather_hour", "left")
 
 
@@ -115,7 +115,10 @@ def attach_weather_local(
 
 def weather_by_hour(weather: DataFrame, columns: Sequence[str] = rules.WEATHER_COLUMNS) -> DataFrame:
     """One row per weather hour (the smallest row when an hour repeats)."""
-    return unique_rows(weather.filter(F.col("weather_hour").isNotNull()), "weather_hour", columns)
+    whole = weather.filter(F.col("weather_hour").isNotNull()).withColumn(
+        "weather_hour", F.date_trunc("hour", "weather_hour")
+    )
+    return unique_rows(whole, "weather_hour", columns)
 
 
 def weather_from_decision_table(decisions: DataFrame) -> DataFrame:

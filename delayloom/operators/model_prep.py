@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from delayloom import rules, schemas
+from delayloom.functions.lookups import calendar_bounded, measured
 from delayloom.functions.measures import one_row
-from delayloom.session import ensure_checkpoint_dir
 
 MAX_MODEL_ROWS = 200_000
 TEST_DATE_SHARE = 0.2
@@ -57,6 +57,8 @@ def _take_per_stratum(df: DataFrame, strata: Sequence[str], key: Sequence[str],
         F.col("_cut.bin").alias("_cut_bin"),
         F.col("_cut.left").alias("_left"),
     )
+    # One row per stratum, derived from the whole table: counted before it may be broadcast.
+    cut = measured(cut)
     same = [F.col(name).eqNullSafe(F.col(new)) for name, new in zip(strata, renamed)]
     joined = drawn.join(cut, same, "left").drop(*renamed)
     # Rows outside the straddling bin are settled by comparison; only that bin is ranked.
@@ -129,7 +131,7 @@ def time_split(df: DataFrame, test_share: float = TEST_DATE_SHARE) -> tuple[Data
 
     def side(test: bool) -> DataFrame:
         chosen = dates.filter(F.col("is_test") if test else ~F.col("is_test"))
-        return df.join(chosen.select("collection_date"), "collection_date", "left_semi")
+        return df.join(calendar_bounded(chosen.select("collection_date")), "collection_date", "left_semi")
 
     return side(False), side(True)
 
@@ -198,9 +200,8 @@ def fit_encoding(
     if usable:
         imputer = Imputer(strategy="median", inputCols=usable, outputCols=[f"{n}_filled" for n in usable])
         medians.update(imputer.fit(doubles).surrogateDF.first().asDict())
-    # One row per category: stored, since every scoring plan joins it once per column.
-    ensure_checkpoint_dir(train.sparkSession)
-    table = category_table(train, columns, min_rows).checkpoint() if categories is None else categories
+    # One row per category: stored and counted, since every scoring plan joins it once per column.
+    table = measured(category_table(train, columns, min_rows)) if categories is None else categories
     modes = {
         row.feature: row.category
         for row in table.groupBy("feature")

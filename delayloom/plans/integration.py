@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from delayloom import rules
+from delayloom.functions.lookups import measured
 from delayloom.functions.measures import rule_rows
 from delayloom.operators import cleaning, enrich, summaries
 from delayloom.sources import writers
@@ -22,7 +23,7 @@ def integrate(
     timed = cleaning.add_time_features(cleaning.filter_outliers(cleaning.drop_incomplete(obs), lo, hi))
     if "service_type" not in timed.columns:
         timed = enrich.attach_routes(timed, enrich.route_metadata(routes))
-    corridors = enrich.corridor_lookup(routes, enrich.corridor_labels(trips, routes))
+    corridors = measured(enrich.corridor_lookup(routes, enrich.corridor_labels(trips, routes)))
     named = enrich.attach_corridors(timed.drop("route_corridor_name"), corridors)
     return cleaning.decision_table(cleaning.label_decisions(enrich.attach_weather(named, weather)))
 

@@ -1,10 +1,9 @@
 """Session settings the library relies on.
 
 Wall-clock fields (collection hour, date, weekday) are UTC everywhere, so the
-session time zone must be UTC.  Lookup tables are never broadcast by an
-unconditional hint: Spark compares their size with the two thresholds below
-(static and, under AQE, measured at run time) and falls back to a sort-merge
-join with skew splitting when a lookup has outgrown them.
+session time zone must be UTC.  The two broadcast thresholds (estimated and,
+under AQE, measured at run time) decide about every lookup that
+``functions.lookups`` has not decided about.
 """
 
 from __future__ import annotations
