@@ -10,7 +10,9 @@ and, beyond them, to a sort-merge join with AQE splitting skewed keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.session import ensure_checkpoint_dir
@@ -31,3 +33,48 @@ def measured(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame
     ensure_checkpoint_dir(lookup.sparkSession)
     stored = lookup.checkpoint()
     return F.broadcast(stored) if stored.count() <= max_rows else stored
+
+
+SALT = "_salt"
+
+
+def salted(lookup: DataFrame, salts: int) -> DataFrame:
+    """Every lookup row once per salt value."""
+    return lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def salt_of(df: DataFrame, salts: int, spread_by: Sequence[str]) -> Column:
+    """A fixed salt per row, from columns that vary inside a hot key."""
+    names = [name for name in spread_by if name in df.columns]
+    return F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int")
+
+
+SPREAD_COLUMNS = ("collection_time_utc", "trip_id", "entity_id", "event_id")
+
+
+def unique_rows(lookup: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per key of a lookup (the smallest row when a key repeats)."""
+    picked = lookup.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("row"))
+    return picked.select(*keys, *(F.col(f"row.{name}").alias(name) for name in columns))
+
+
+def left_lookup(
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    salts: int = 1,
+    spread_by: Sequence[str] = SPREAD_COLUMNS,
+) -> DataFrame:
+    """Left join one row per key; every fact row comes out exactly once.
+
+    A lookup that has outgrown broadcasting is joined by shuffling the facts,
+    and then a key holding a third of them would end in one task.  ``salts``
+    above one spreads every key over that many tasks, at the price of as many
+    copies of the lookup; use it where the lookup grows with the facts.
+    """
+    if salts == 1:
+        return facts.join(unique_rows(lookup, [key], columns), key, "left")
+    copies = unique_rows(salted(lookup.select(key, *columns), salts), [key, SALT], columns)
+    placed = facts.withColumn(SALT, salt_of(facts, salts, spread_by))
+    return placed.join(copies, [key, SALT], "left").drop(SALT)

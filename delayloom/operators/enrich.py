@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 
 from delayloom import rules, schemas
 from delayloom.functions import labels
-from delayloom.functions.lookups import calendar_bounded
+from delayloom.functions.lookups import calendar_bounded, left_lookup, unique_rows
 from delayloom.functions.parsing import blank_to_null, local_wall_clock, to_double, to_long, to_utc_timestamp
 from delayloom.operators.cleaning import require_columns
 
@@ -35,7 +35,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 
 def attach_completeness(obs: DataFrame, manifest: DataFrame) -> DataFrame:
-    days = calendar_bounded(unique_rows(manifest, "collection_date", COMPLETENESS_COLUMNS))
+    days = calendar_bounded(unique_rows(manifest, ["collection_date"], COMPLETENESS_COLUMNS))
     return obs.join(days, "collection_date", "left")
 
 
@@ -59,20 +59,10 @@ def route_metadata(routes: DataFrame) -> DataFrame:
     ).select(*schemas.ROUTE_METADATA_COLUMNS)
 
 
-def unique_rows(lookup: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per key of a lookup (the smallest row when a key repeats)."""
-    others = list(columns or (name for name in lookup.columns if name != key))
-    picked = lookup.groupBy(key).agg(F.min(F.struct(*others)).alias("row"))
-    return picked.select(key, *(F.col(f"row.{name}").alias(name) for name in others))
-
-
-def unique_routes(routes: DataFrame) -> DataFrame:
-    return unique_rows(routes, "route_id")
-
-
-def attach_routes(obs: DataFrame, metadata: DataFrame) -> DataFrame:
+def attach_routes(obs: DataFrame, metadata: DataFrame, salts: int = 1) -> DataFrame:
     """Left join route metadata with fallbacks for unmatched routes, and flag special services."""
-    joined = obs.join(unique_routes(metadata), "route_id", "left")
+    others = [name for name in metadata.columns if name != "route_id"]
+    joined = left_lookup(obs, metadata, "route_id", others, salts)
     return joined.withColumns(
         {
             "service_type": F.coalesce("service_type", F.lit(rules.UNKNOWN_SERVICE)),
@@ -118,7 +108,7 @@ def weather_by_hour(weather: DataFrame, columns: Sequence[str] = rules.WEATHER_C
     whole = weather.filter(F.col("weather_hour").isNotNull()).withColumn(
         "weather_hour", F.date_trunc("hour", "weather_hour")
     )
-    return unique_rows(whole, "weather_hour", columns)
+    return unique_rows(whole, ["weather_hour"], columns)
 
 
 def weather_from_decision_table(decisions: DataFrame) -> DataFrame:
@@ -165,15 +155,15 @@ def corridor_labels(trips: DataFrame, routes: DataFrame, order: str = "trip_id")
 
 def corridor_lookup(routes: DataFrame, corridors: DataFrame) -> DataFrame:
     """Corridor for every route of the schedule; short name, then id, where trips give none."""
-    named = unique_routes(routes.select("route_id", "route_short_name")).join(corridors, "route_id", "left")
+    named = unique_rows(routes, ["route_id"], ["route_short_name"]).join(corridors, "route_id", "left")
     return named.select(
         "route_id", F.coalesce("route_corridor_name", "route_short_name", "route_id").alias("route_corridor_name")
     )
 
 
-def attach_corridors(facts: DataFrame, corridors: DataFrame) -> DataFrame:
+def attach_corridors(facts: DataFrame, corridors: DataFrame, salts: int = 1) -> DataFrame:
     """Left join corridor names with the fallback chain display name, short name, id."""
-    joined = facts.join(corridors.select("route_id", "route_corridor_name"), "route_id", "left")
+    joined = left_lookup(facts, corridors, "route_id", ["route_corridor_name"], salts)
     return joined.withColumn(
         "route_corridor_name",
         F.coalesce("route_corridor_name", "route_display_name", "route_short_name", "route_id"),
@@ -189,21 +179,23 @@ def route_corridor_lookup(route_summary: DataFrame) -> DataFrame:
     return first.select("route_id", F.col("route_corridor_name").alias("corridor_name"))
 
 
-def trips_with_routes(trips: DataFrame, routes: DataFrame) -> DataFrame:
-    return trips.join(unique_routes(routes), "route_id", "left")
+def trips_with_routes(trips: DataFrame, routes: DataFrame, salts: int = 1) -> DataFrame:
+    others = [name for name in routes.columns if name != "route_id"]
+    return left_lookup(trips, routes, "route_id", others, salts)
 
 
-def realtime_with_routes(records: DataFrame, routes: DataFrame) -> DataFrame:
+def realtime_with_routes(records: DataFrame, routes: DataFrame, salts: int = 1) -> DataFrame:
     """Snapshot rows with four route columns and the transport mode."""
     columns = routes.select(
         "route_id", "route_short_name", "route_long_name", to_long(F.col("route_type")).cast("int").alias("route_type")
     )
-    joined = records.join(unique_routes(columns), "route_id", "left")
+    others = [name for name in columns.columns if name != "route_id"]
+    joined = left_lookup(records, columns, "route_id", others, salts)
     return joined.withColumn("transport_mode", labels.transport_mode(F.col("route_type")))
 
 
 def semi_by_dates(df: DataFrame, dates: DataFrame) -> DataFrame:
-    return df.join(dates.select("collection_date"), "collection_date", "left_semi")
+    return df.join(calendar_bounded(dates.select("collection_date")), "collection_date", "left_semi")
 
 
 def route_endpoints(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, route_id: str | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.functions import labels
+from delayloom.functions.lookups import SALT, salt_of, salted
 from delayloom.functions.measures import with_share
 from delayloom.functions.parsing import to_double
 
@@ -71,9 +72,15 @@ def mean_abs_contribution(contributions: DataFrame) -> DataFrame:
     )
 
 
-def min_max_normalise(points: DataFrame, value: str = "value", key: str = "feature", name: str = "value_norm") -> DataFrame:
-    """Scale a value to 0..1 within each feature; a constant feature gets 0."""
+def min_max_normalise(
+    points: DataFrame, value: str = "value", key: str = "feature", name: str = "value_norm", salts: int = 1
+) -> DataFrame:
+    """Scale a value to 0..1 within each feature; a constant feature gets 0.
+
+    ``salts`` spreads the points of a large feature over several tasks.
+    """
     bounds = points.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    spread = points.withColumn(SALT, salt_of(points, salts, points.columns))
     span = F.col("_hi") - F.col("_lo")
     scaled = (F.col(value) - F.col("_lo")) / F.when(span == 0, F.lit(1.0)).otherwise(span)
-    return points.join(bounds, key).withColumn(name, scaled).drop("_lo", "_hi")
+    return spread.join(salted(bounds, salts), [key, SALT]).withColumn(name, scaled).drop("_lo", "_hi", SALT)

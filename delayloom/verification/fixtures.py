@@ -29,6 +29,9 @@ COMPLETE_DAYS = tuple(
     day for day in (f"2024-01-{number:02d}" for number in range(1, 31)) if day not in PARTIAL_DAY_NOTES
 )
 
+# Customers grow with the events, so their lookups may be too large to broadcast.
+SALTS = 8
+
 FOCUS_ROUTE = "7-202"
 FOCUS_BUS_ROUTE = "9-204"
 
@@ -198,9 +201,8 @@ class DriverTables:
     @cached_property
     def enriched(self) -> DataFrame:
         """Observations with completeness flags and route metadata."""
-        return enrich.attach_routes(
-            enrich.attach_completeness(self.observations, self.manifest), self.route_metadata
-        )
+        flagged = enrich.attach_completeness(self.observations, self.manifest)
+        return enrich.attach_routes(flagged, self.route_metadata, SALTS)
 
     @cached_property
     def storage(self) -> DataFrame:
@@ -214,7 +216,7 @@ class DriverTables:
     def integrated(self) -> DataFrame:
         """Labelled observations that still carry their entity id."""
         timed = cleaning.add_time_features(cleaning.filter_outliers(self.enriched))
-        named = enrich.attach_corridors(timed, enrich.corridor_lookup(self.routes, self.corridors))
+        named = enrich.attach_corridors(timed, enrich.corridor_lookup(self.routes, self.corridors), SALTS)
         return cleaning.label_decisions(enrich.attach_weather(named, self.weather))
 
     @cached_property

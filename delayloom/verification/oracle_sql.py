@@ -726,6 +726,35 @@ _BODIES = {
     "busiest_routes": "SELECT route_id, COUNT(*) AS trips FROM trips GROUP BY 1 ORDER BY trips DESC, route_id LIMIT 10",
     "trips_with_routes": """SELECT route_id, trip_id, direction_id, trip_headsign, shape_id, agency_id, route_short_name, route_long_name,
         CAST(route_type AS VARCHAR) AS route_type FROM trips LEFT JOIN routes USING (route_id)""",
+    "realtime_with_routes": """SELECT entity_id, route_short_name, route_long_name, route_type, transport_mode FROM with_mode""",
+    "attach_completeness": """SELECT entity_id, collection_day_status, collection_coverage_hours, is_partial_day, is_model_baseline_day
+        FROM storage""",
+    "weather_from_decisions": f"""SELECT {_FULL_TIME.format('hour')} AS weather_hour, {', '.join(rules.WEATHER_COLUMNS)} FROM (
+        SELECT *, date_trunc('hour', collection_time_utc) AS hour,
+            ROW_NUMBER() OVER (PARTITION BY date_trunc('hour', collection_time_utc) ORDER BY collection_time_utc, temperature_2m) AS place
+        FROM decisions) WHERE place = 1""",
+    "decision_types": f"""SELECT {_FULL_TIME.format('collection_time_utc')} AS collection_time_utc, route_id, trip_id,
+        CAST(route_type AS BIGINT) AS route_type, delay_seconds, is_special_route, is_partial_day, rain, wind_speed_10m,
+        CAST(trip_hour AS BIGINT) AS trip_hour FROM decisions""",
+    "flatten_snapshots": f"""SELECT {_FULL_TIME.format('collection_time_utc')} AS collection_time_utc, entity_id, trip_id, route_id,
+        direction_id, start_time, CAST(start_date AS VARCHAR) AS start_date, feed_time AS "timestamp",
+        CAST(delay_seconds AS DOUBLE) AS delay_seconds, is_deleted, {_r('delay_minutes', 6)} AS delay_minutes FROM obs""",
+    "model_input": f"""SELECT {_FULL_TIME.format('collection_time_utc')} AS collection_time_utc, collection_date,
+        COALESCE(route_short_name, 'missing') AS route_short_name, COALESCE(CAST(route_type AS VARCHAR), 'missing') AS route_type,
+        service_type, CAST(trip_hour AS DOUBLE) AS trip_hour, {_r('rain', 6)} AS rain, {_r('delay_minutes', 6)} AS delay_minutes,
+        delay_risk, CAST(delay_risk <> 'Low' AS INTEGER) AS actionable_delay_risk FROM decisions""",
+    "earliest_rows": f"""SELECT {_FULL_TIME.format('t')} AS collection_time_utc, entity_id, route_id, delay_seconds FROM (
+        SELECT collection_time_utc AS t, entity_id, route_id, delay_seconds FROM decisions
+        ORDER BY collection_time_utc, route_id, entity_id LIMIT 200)""",
+    "intervention_candidates": "SELECT entity_id, recommended_action FROM cases",
+    "semi_by_dates": "SELECT entity_id, collection_date FROM decisions JOIN dates USING (collection_date) WHERE is_test",
+    "split_metrics": f"""SELECT unnest(['Input', 'Input', 'Split', 'Split', 'Target distribution', 'Target distribution']) AS model,
+        unnest(['full_rows', 'rows', 'train_rows', 'test_rows', 'train_positive_share', 'test_positive_share']) AS metric,
+        unnest([CAST(n AS DOUBLE), n, n - t, t, {_r('(p - q) / (n - t)', 6)}, {_r('q / t', 6)}]) AS value
+        FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE is_test) AS t, CAST(SUM(actual_actionable_delay_risk) AS DOUBLE) AS p,
+            CAST(SUM(actual_actionable_delay_risk) FILTER (WHERE is_test) AS DOUBLE) AS q FROM ai JOIN dates USING (collection_date))""",
+    "metric_lookup": f"""SELECT {_metric(_class_metrics(_TEST), 'accuracy')} AS accuracy, {_metric(_delay_metrics(_TRAIN), 'rmse')} AS rmse""",
+    "ordered_importance": "SELECT * FROM importance",
     "pair_audit": f"""WITH p AS (SELECT delay_risk, recommended_action, COUNT(*) AS records FROM decisions GROUP BY 1, 2)
         SELECT *, COALESCE({_ACTION.format('delay_risk')} = recommended_action, FALSE) AS is_allowed,
             COUNT(*) OVER (PARTITION BY recommended_action) AS risks_of_action FROM p""",

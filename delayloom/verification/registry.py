@@ -31,8 +31,9 @@ from delayloom.operators import (
 )
 from delayloom.plans import training
 from delayloom.session import ensure_checkpoint_dir
+from delayloom.sources import readers, writers
 from delayloom.streaming import feeds
-from delayloom.verification.fixtures import FOCUS_BUS_ROUTE, FOCUS_ROUTE, DriverTables, driver_tables
+from delayloom.verification.fixtures import FOCUS_BUS_ROUTE, FOCUS_ROUTE, SALTS, DriverTables, driver_tables
 
 Query = Callable[[DriverTables], DataFrame]
 
@@ -161,7 +162,7 @@ def _weather_attached(d: DriverTables) -> DataFrame:
 
 
 def _routes_attached(d: DriverTables) -> DataFrame:
-    joined = enrich.attach_routes(d.observations, d.route_metadata)
+    joined = enrich.attach_routes(d.observations, d.route_metadata, SALTS)
     return joined.select("entity_id", *schemas.ROUTE_METADATA_COLUMNS, "is_special_route")
 
 
@@ -178,7 +179,7 @@ def _path_rows(d: DriverTables) -> DataFrame:
 
 
 def _routes_of_snapshot(d: DriverTables) -> DataFrame:
-    return enrich.realtime_with_routes(d.observations, d.routes)
+    return enrich.realtime_with_routes(d.observations, d.routes, SALTS)
 
 
 def _time_features(d: DriverTables) -> DataFrame:
@@ -263,6 +264,45 @@ def _contribution_points(d: DriverTables) -> DataFrame:
     return explain.contribution_points(classifier, test, _MODEL_KEY)
 
 
+def _text_decisions(d: DriverTables) -> DataFrame:
+    """Decisions as text, the way a CSV hands them over, typed again."""
+    text = d.decisions.select(*(F.col(name).cast("string") for name in d.decisions.columns))
+    typed = cleaning.normalize_decision_types(text)
+    return _text_times(
+        typed.select("collection_time_utc", "route_id", "trip_id", "route_type", "delay_seconds", "is_special_route",
+                     "is_partial_day", "rain", "wind_speed_10m", "trip_hour"),
+        "collection_time_utc",
+    )
+
+
+def _snapshots(d: DriverTables) -> DataFrame:
+    """Observations as one JSON document each, parsed and flattened again."""
+    trip = F.struct("trip_id", "route_id", F.col("direction_id").cast("int").alias("direction_id"), "start_time",
+                    F.col("start_date").cast("string").alias("start_date"))
+    update = F.struct("timestamp", F.col("delay_seconds").cast("double").alias("delay"), trip.alias("trip"))
+    entity = F.struct(F.col("entity_id").alias("id"), "is_deleted", update.alias("trip_update"))
+    document = F.to_json(F.struct(F.struct(F.array(entity).alias("entity")).alias("response")))
+    parsed = d.observations.select(
+        "collection_time_utc", F.from_json(document, schemas.SNAPSHOT)["response"].alias("response")
+    )
+    return _rounded(_text_times(readers.flatten_snapshots(parsed), "collection_time_utc"))
+
+
+def _model_rows(d: DriverTables) -> DataFrame:
+    prepared = cleaning.model_input(d.decisions)
+    return _rounded(_text_times(
+        prepared.select("collection_time_utc", "collection_date", "route_short_name", "route_type", "service_type",
+                        "trip_hour", "rain", "delay_minutes", "delay_risk", "actionable_delay_risk"),
+        "collection_time_utc",
+    ))
+
+
+def _split_rows(d: DriverTables) -> DataFrame:
+    train, test = model_prep.time_split(d.ai)
+    target = "actual_actionable_delay_risk"
+    return metrics.split_metrics(d.ai, d.ai, train, test, target).select("model", "metric", "value")
+
+
 def _stream_hourly(d: DriverTables) -> DataFrame:
     """Hourly delays from a file stream run to its end; hours still inside the watermark stay open."""
     run = f"{ensure_checkpoint_dir(d.spark)}/stream-hourly-{uuid.uuid4().hex}"
@@ -374,7 +414,29 @@ QUERIES: dict[str, Query] = {
     "shape_usage": lambda d: enrich.shape_usage(d.trips),
     "route_path": _path_rows,
     "busiest_routes": lambda d: enrich.busiest_routes(d.trips),
-    "trips_with_routes": lambda d: enrich.trips_with_routes(d.trips, d.routes),
+    "trips_with_routes": lambda d: enrich.trips_with_routes(d.trips, d.routes, SALTS),
+    "realtime_with_routes": lambda d: _routes_of_snapshot(d).select(
+        "entity_id", "route_short_name", "route_long_name", "route_type", "transport_mode"
+    ),
+    "attach_completeness": lambda d: enrich.attach_completeness(d.observations, d.manifest).select(
+        "entity_id", *enrich.COMPLETENESS_COLUMNS
+    ),
+    "weather_from_decisions": lambda d: _text_times(
+        enrich.weather_from_decision_table(d.decisions), "weather_hour"
+    ),
+    "decision_types": _text_decisions,
+    "flatten_snapshots": _snapshots,
+    "model_input": _model_rows,
+    "earliest_rows": lambda d: _text_times(
+        writers.earliest_rows(d.integrated.select("collection_time_utc", "entity_id", "route_id", "delay_seconds"), 200),
+        "collection_time_utc",
+    ),
+    "intervention_candidates": lambda d: filters.intervention_candidates(d.integrated).select(
+        "entity_id", "recommended_action"
+    ),
+    "semi_by_dates": lambda d: enrich.semi_by_dates(
+        d.integrated, model_prep.split_dates(d.integrated).filter("is_test")
+    ).select("entity_id", "collection_date"),
     # quality
     "pair_audit": lambda d: quality.pair_audit(d.decisions),
     "invalid_pairs": lambda d: quality.invalid_pairs(
@@ -413,7 +475,7 @@ QUERIES: dict[str, Query] = {
     "mean_abs_contribution": lambda d: features.mean_abs_contribution(_contributions(d)),
     "min_max_normalise": lambda d: _rounded(
         features.min_max_normalise(
-            d.importance.select("feature", "notes", F.col("importance").alias("value"))
+            d.importance.select("feature", "notes", F.col("importance").alias("value")), salts=SALTS
         )
     ),
     # time series
@@ -431,6 +493,11 @@ QUERIES: dict[str, Query] = {
     "stratified_split": lambda d: model_prep.stratified_split(d.integrated, ["entity_id"]).select(
         "entity_id", "delay_risk", "is_test"
     ),
+    "split_metrics": _split_rows,
+    "metric_lookup": lambda d: prediction.metric_lookup(
+        _long_metrics(d), [("accuracy", "classifier", "ACCURACY"), ("rmse", "median", "rmse")], exact=False
+    ),
+    "ordered_importance": lambda d: features.ordered_importance(d.importance),
     "time_split": lambda d: model_prep.split_dates(d.ai),
     "one_hot_rare": lambda d: model_prep.category_table(_train(d), min_rows=RARE_ROWS),
     "baselines": lambda d: _rounded(model_prep.baselines(_train(d))),
