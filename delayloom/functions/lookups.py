@@ -35,6 +35,20 @@ def measured(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame
     return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, from file sizes and the columns read; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def may_broadcast(df: DataFrame) -> bool:
+    """Whether Spark would broadcast this lookup by the session's own threshold."""
+    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    digits = threshold.rstrip("bkmg")
+    unit = threshold[len(digits):].rstrip("b")
+    return estimated_bytes(df) <= int(digits) * units.get(unit, 1)
+
+
 SALT = "_salt"
 
 
@@ -71,10 +85,12 @@ def left_lookup(
     A lookup that has outgrown broadcasting is joined by shuffling the facts,
     and then a key holding a third of them would end in one task.  ``salts``
     above one spreads every key over that many tasks, at the price of as many
-    copies of the lookup; use it where the lookup grows with the facts.
+    copies of the lookup; use it where the lookup grows with the facts.  While
+    the lookup is small enough to be broadcast nothing is copied.
     """
-    if salts == 1:
+    lookup = lookup.select(key, *columns)
+    if salts == 1 or may_broadcast(lookup):
         return facts.join(unique_rows(lookup, [key], columns), key, "left")
-    copies = unique_rows(salted(lookup.select(key, *columns), salts), [key, SALT], columns)
+    copies = unique_rows(salted(lookup, salts), [key, SALT], columns)
     placed = facts.withColumn(SALT, salt_of(facts, salts, spread_by))
     return placed.join(copies, [key, SALT], "left").drop(SALT)

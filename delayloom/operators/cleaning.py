@@ -225,14 +225,15 @@ def assign_ai_decisions(predictions: DataFrame, strict: bool = True) -> DataFram
     With ``strict`` a null or out-of-range probability stops the job; without
     it such rows get null labels (see ``quality.probability_domain``).
     """
-    probability = F.col("predicted_actionable_probability")
-    valid = probability.between(0, 1)
+    name = "predicted_actionable_probability"
+    valid = F.col(name).between(0, 1)
+    # The check is a column of its own, so that each row is checked once and not in every band.
     if strict:
-        message = F.lit("predicted_actionable_probability must be between 0 and 1 and never null")
-        probability = F.when(valid, probability).otherwise(F.raise_error(message).cast("double"))
+        message = F.lit(f"{name} must be between 0 and 1 and never null")
+        checked = F.when(valid, F.col(name)).otherwise(F.raise_error(message).cast("double"))
+        labelled = predictions.withColumn(name, checked).withColumn("ai_delay_risk", labels.ai_delay_risk(F.col(name)))
     else:
-        probability = F.when(valid, probability)
-    labelled = predictions.withColumn("ai_delay_risk", labels.ai_delay_risk(probability))
+        labelled = predictions.withColumn("ai_delay_risk", F.when(valid, labels.ai_delay_risk(F.col(name))))
     risk = F.col("ai_delay_risk")
     return labelled.withColumns(
         {
