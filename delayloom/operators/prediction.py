@@ -84,7 +84,7 @@ def route_timing_mix(ai: DataFrame, route_id: str, where: DashboardFilter = DEFA
     return _timing_counts(route).orderBy(labels.rank_of(F.col("timing_band"), rules.TIMING_ORDER))
 
 
-def _example_columns(df: DataFrame, corridor: Column) -> list[Column]:
+def _example_columns(corridor: Column) -> list[Column]:
     return [
         F.col("collection_date").cast("string").alias("collection_date"),
         F.col("route_id"),
@@ -98,16 +98,19 @@ def _example_columns(df: DataFrame, corridor: Column) -> list[Column]:
 
 
 def _example_order() -> list:
-    """Highest probability first; ties on it are settled by every other column shown."""
-    others = ("route_id", "collection_date", "observed_delay", "predicted_delay", "corridor_name")
-    return [F.desc_nulls_last("ai_probability"), *others]
+    """Highest shown probability first; ties on it are settled by everything else an example shows.
+
+    The order only needs stored columns, so examples are picked first and the
+    texts and rounded values are made for the picked rows alone.
+    """
+    others = ("route_id", "collection_date", "delay_minutes", "predicted_delay_minutes", "route_corridor_name",
+              "route_display_name")
+    return [F.round("predicted_actionable_probability", 3).desc_nulls_last(), *others]
 
 
 def prediction_examples(ai: DataFrame, limit: int = 10, where: DashboardFilter = DEFAULT) -> DataFrame:
-    source = where.apply(ai)
-    return (
-        source.select(*_example_columns(source, labels.corridor_or_route())).orderBy(*_example_order()).limit(limit)
-    )
+    picked = where.apply(ai).orderBy(*_example_order()).limit(limit)
+    return picked.select(*_example_columns(labels.corridor_or_route()))
 
 
 def route_prediction_examples(
@@ -119,20 +122,19 @@ def route_prediction_examples(
     if where.day == rules.ALL_DAYS:
         latest = base.agg(F.max("collection_date").alias("day")).scalar()
         source = source.filter(F.col("collection_date") == latest)
-    shown = _example_columns(source, labels.corridor_name())
+    shown = _example_columns(labels.corridor_name())
     service = labels.known_service(rules.UNMATCHED_SERVICE).alias("service_type")
-    return source.select(*shown[:2], service, *shown[2:]).orderBy(*_example_order()).limit(limit)
+    return source.orderBy(*_example_order()).limit(limit).select(*shown[:2], service, *shown[2:])
 
 
 def balanced_examples(ai: DataFrame, where: DashboardFilter = DEFAULT, limit: int = 12) -> DataFrame:
     """The most probable example of every predicted risk and timing band."""
     source = where.apply(ai).filter(F.col("delay_minutes").isNotNull())
-    shown = source.select(
-        *_example_columns(source, labels.corridor_name()),
-        labels.timing_band(F.col("delay_minutes")).alias("timing_band"),
-    ).filter(F.col("ai_delay_risk").isin(*rules.RISK_ORDER))
-    picked = first_per_key(shown, ["ai_delay_risk", "timing_band"], _example_order())
-    return picked.orderBy(
+    banded = source.filter(F.col("ai_delay_risk").isin(*rules.RISK_ORDER)).withColumn(
+        "timing_band", labels.timing_band(F.col("delay_minutes"))
+    )
+    picked = first_per_key(banded, ["ai_delay_risk", "timing_band"], _example_order())
+    return picked.select(*_example_columns(labels.corridor_name()), "timing_band").orderBy(
         labels.rank_of(F.col("ai_delay_risk"), rules.RISK_ORDER),
         labels.rank_of(F.col("timing_band"), rules.TIMING_ORDER),
     ).limit(limit)

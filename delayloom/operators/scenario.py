@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayloom import rules
-
-
-def scenario_trip_metrics(trips: DataFrame) -> DataFrame:
-    """Completed trips and their durations per scenario; a scenario without trips has zeros.
-
-    ``trips`` keeps one row with null vehicle_id-less measures for an empty
-    scenario only if the reader put it there; see ``sources.readers``.
-    """
-    def shown(aggregate):
-        return F.coalesce(F.round(aggregate, 2), F.lit(0.0))
-
-    return trips.groupBy("scenario_name").agg(
+from delayloom.functions.measures import rule_rows
+
+
+def scenario_trip_metrics(trips: DataFrame, scenarios: Sequence[str] = ()) -> DataFrame:
+    """Completed trips and their durations per scenario; a listed scenario without trips has zeros."""
+    measured = {
+        "avg_duration_sec": F.avg("duration_sec"),
+        "max_duration_sec": F.max("duration_sec"),
+        "avg_time_loss_sec": F.avg("time_loss_sec"),
+        "max_time_loss_sec": F.max("time_loss_sec"),
+        "avg_waiting_time_sec": F.avg("waiting_time_sec"),
+    }
+    metrics = trips.groupBy("scenario_name").agg(
         F.count("duration_sec").alias("completed_trips"),
-        shown(F.avg("duration_sec")).alias("avg_duration_sec"),
-        shown(F.max("duration_sec")).alias("max_duration_sec"),
-        shown(F.avg("time_loss_sec")).alias("avg_time_loss_sec"),
-        shown(F.max("time_loss_sec")).alias("max_time_loss_sec"),
-        shown(F.avg("waiting_time_sec")).alias("avg_waiting_time_sec"),
+        *(F.round(aggregate, 2).alias(name) for name, aggregate in measured.items()),
+    )
+    if scenarios:
+        listed = rule_rows(trips.sparkSession, ["scenario_name"], [(name,) for name in scenarios])
+        metrics = listed.join(metrics, "scenario_name", "full")
+    return metrics.select(
+        "scenario_name",
+        F.coalesce("completed_trips", F.lit(0)).alias("completed_trips"),
+        *(F.coalesce(name, F.lit(0.0)).alias(name) for name in measured),
     )
 
 

@@ -58,6 +58,7 @@ def read_daily_logs(spark: SparkSession, directory: str, pattern: str = DAILY_GL
     raw = (
         spark.read.schema(schemas.RAW_OBSERVATION)
         .option("header", True)
+        .option("enforceSchema", False)  # a header that does not match the contract is an error
         .option("mode", "PERMISSIVE")
         .option("pathGlobFilter", pattern)
         .csv(directory)

@@ -48,7 +48,8 @@ def append_daily(df: DataFrame, path: str) -> None:
 
 def split_log_by_day(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> None:
     """Split one long CSV log into daily folders of cleaned raw columns."""
-    rows = clean_observations(spark.read.schema(schemas.RAW_OBSERVATION).option("header", True).csv(source))
+    log = spark.read.schema(schemas.RAW_OBSERVATION).option("header", True).option("enforceSchema", False)
+    rows = clean_observations(log.csv(source)).select(*schemas.RAW_COLUMNS, "collection_date")
     writer = by_day(rows).write.mode("overwrite" if overwrite else "append")
     writer.option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("collection_date").csv(target)
 

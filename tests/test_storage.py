@@ -177,6 +177,17 @@ def test_scenarios_from_xml(spark, tmp_path):
     assert results["Disruption Scenario"].congestion_index == 87.5 and results["Baseline Operations"].avg_delay_min == 0.17
 
 
+def test_listed_scenario_without_trips_has_zeros(spark):
+    none = spark.createDataFrame([], "scenario_name string, duration_sec double, time_loss_sec double, waiting_time_sec double")
+    assert tuple(scenario.scenario_trip_metrics(none, ["Baseline Operations"]).first()) == ("Baseline Operations", 0, 0.0, 0.0, 0.0, 0.0, 0.0)
+
+
+def test_foreign_header_is_an_error(spark, tmp_path):
+    (tmp_path / "gtfs_realtime_2026-05-11.csv").write_text("a," + HEADER[2:] + "\n" + line("2026-05-11", "08") + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_daily_logs(spark, str(tmp_path)).select(*schemas.RAW_COLUMNS).collect()
+
+
 def test_scenario_report_prefers_the_stated_improvement(spark):
     ddl = "scenario_name string, selected_route string, avg_delay_min double, validation_interpretation string"
     data = [("Disruption Scenario", "128-202", 0.2, "high"), ("Intervention Scenario", "128-202", 0.1, "about 45.6 Percent lower loss")]
