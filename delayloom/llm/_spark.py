@@ -77,3 +77,17 @@ def grouped(key: str, work: Callable[[int, pa.Table], Iterator[pa.RecordBatch]])
             yield from work(current, pa.Table.from_batches(held))
 
     return run
+
+
+@contextmanager
+def bucketed(df: DataFrame, key: str, parts: int) -> Iterator[DataFrame]:
+    """``df`` as a table bucketed by ``key`` in the shared folder, so that later joins on it move only the other side."""
+    spark = df.sparkSession
+    name = f"delayloom_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/{name}"
+    writer = df.repartition(parts, key).write.option("path", path).option("compression", "uncompressed")
+    writer.bucketBy(parts, key).sortBy(key).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from delayloom.llm import chosen_path, packing
+from delayloom.llm import chosen_path, decontaminate, line_dedup, packing, quality, suffix_dedup
 from delayloom.llm._spark import read_table
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -20,6 +21,59 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (_ROOT, known) if p)
 
 
+OP1_LINE_DEDUP = """
+WITH parts AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+    FROM documents
+), bodies AS (
+    SELECT doc_id, line, place, trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS body FROM parts
+), worded AS (
+    SELECT doc_id, place, body, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS n FROM bodies WHERE body <> ''
+), runs AS (
+    SELECT doc_id, n, body, lead(body, 1) OVER own AS second, lead(body, 2) OVER own AS third
+    FROM worded WINDOW own AS (PARTITION BY doc_id ORDER BY n)
+), windows AS (
+    SELECT doc_id, n, 3 AS size, concat(body, chr(10), second, chr(10), third) AS content FROM runs WHERE third IS NOT NULL
+    UNION ALL
+    SELECT doc_id, n, 1 AS size, body AS content FROM runs
+    WHERE len(regexp_split_to_array(body, '[\\x20\\x09-\\x0D]+')) >= 50
+), later AS (
+    SELECT doc_id, n, size FROM (
+        SELECT *, row_number() OVER (PARTITION BY size, content ORDER BY doc_id, n) AS turn FROM windows
+    ) WHERE turn > 1
+), lost AS (
+    SELECT DISTINCT w.doc_id, w.n, w.place FROM worded w JOIN later l
+    ON w.doc_id = l.doc_id AND w.n >= l.n AND w.n < l.n + l.size
+), counts AS (
+    SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before <> n - 1) AS n_runs
+    FROM (SELECT doc_id, n, lag(n) OVER (PARTITION BY doc_id ORDER BY n) AS before FROM lost) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, count(*) AS n_lines FROM worded GROUP BY doc_id
+), rest AS (
+    SELECT b.doc_id, string_agg(b.line, chr(10) ORDER BY b.place) AS text
+    FROM bodies b LEFT JOIN lost l ON b.doc_id = l.doc_id AND b.place = l.place WHERE l.n IS NULL GROUP BY b.doc_id
+)
+SELECT d.doc_id, coalesce(lines.n_lines, 0) AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_runs, 0)::BIGINT AS n_runs, sha256(coalesce(rest.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN lines USING (doc_id) LEFT JOIN counts USING (doc_id) LEFT JOIN rest USING (doc_id)
+"""
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of lines, deleted lines and deleted runs, and the hash of each remaining text."""
+    cut = line_dedup.delete_repeated_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -28,7 +82,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op8_near_duplicates, op9_packing)
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op1_line_dedup, op4_decontamination, op7_quality_rules, op8_near_duplicates, op9_packing, op10_suffix_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -43,4 +101,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": OP1_LINE_DEDUP}
