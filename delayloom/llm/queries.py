@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayloom.llm import chosen_path, decontaminate, line_dedup, packing, quality, suffix_dedup
+from delayloom.llm import (
+    chosen_path,
+    decontaminate,
+    langid,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from delayloom.llm._spark import read_table
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -66,10 +77,26 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(read_table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(read_table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -86,7 +113,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_line_dedup, op4_decontamination, op7_quality_rules, op8_near_duplicates, op9_packing, op10_suffix_dedup)
+_QUERIES = (
+    op1_line_dedup,
+    op2_toxicity,
+    op3_url_filter,
+    op4_decontamination,
+    op5_pii,
+    op6_language,
+    op7_quality_rules,
+    op8_near_duplicates,
+    op9_packing,
+    op10_suffix_dedup,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
