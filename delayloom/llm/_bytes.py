@@ -14,7 +14,7 @@ _MIX_A = U64(0xBF58476D1CE4E5B9)
 _MIX_B = U64(0x94D049BB133111EB)
 
 #: Bytes of text that one step works on; a longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 
 _generator = np.random.Generator(np.random.PCG64(20240607))
 #: A fixed random value for each byte, so that hashes agree between tasks.
@@ -28,7 +28,7 @@ SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _powers = {"up": np.ones(1, dtype=U64), "down": np.ones(1, dtype=U64)}
 
 
-def _power(kind: str, size: int) -> np.ndarray:
+def powers(kind: str, size: int) -> np.ndarray:
     have = _powers[kind]
     if len(have) < size:
         size = max(size, STEP_BYTES + 1)
@@ -73,19 +73,19 @@ def steps(offsets: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, in
 def prefix_sums(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums that give the hash of any stretch: ``stretch_hashes``."""
     sums = np.zeros(len(data) + 1, dtype=U64)
-    np.cumsum(values[data] * _power("up", len(data) + 1)[: len(data)], out=sums[1:])
+    np.cumsum(values[data] * powers("up", len(data) + 1)[: len(data)], out=sums[1:])
     return sums
 
 
 def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of data[start:end] for each pair; equal stretches get equal hashes wherever they stand."""
-    return mix((sums[ends] - sums[starts]) * _power("down", len(sums))[starts])
+    return mix((sums[ends] - sums[starts]) * powers("down", len(sums))[starts])
 
 
 def gram_hashes(sums: np.ndarray, size: int) -> np.ndarray:
     """Hash of each stretch of ``size`` bytes, by start."""
     count = max(0, len(sums) - size)
-    return mix((sums[size:] - sums[:count]) * _power("down", len(sums))[:count])
+    return mix((sums[size:] - sums[:count]) * powers("down", len(sums))[:count])
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

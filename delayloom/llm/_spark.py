@@ -35,8 +35,12 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Texts in an Arrow batch: a few MB for usual texts.
+BATCH_TEXTS = 1000
+
+
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+def arrow_batches(spark: SparkSession, rows: int = BATCH_TEXTS) -> Iterator[None]:
     """Limit the rows of an Arrow batch while an action over large rows runs."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
 from delayloom.llm._graph import components
-from delayloom.llm._spark import grouped, parts_for, stored
+from delayloom.llm._spark import arrow_batches, grouped, parts_for, stored
 
 SHINGLE_WORDS = 5
 #: Link when 100 * intersection >= MIN_PERCENT * union.
@@ -216,6 +216,11 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable over links) and kept (doc_id = component_id)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with arrow_batches(docs.sparkSession):
+        return _near_duplicates(docs, shingle_words, min_percent, trees)
+
+
+def _near_duplicates(docs: DataFrame, shingle_words: int, min_percent: int, trees: int) -> DataFrame:
     signatures = stored(
         docs.mapInArrow(_signatures(trees, shingle_words),
                         "doc_id long, n_shingles long, sum_a long, sum_b long, nodes array<long>"), "signatures")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
-from delayloom.llm._spark import parts_for
+from delayloom.llm._spark import arrow_batches, parts_for, stored
 
 GRAM = 12
 EDIT_PERCENT = 6
@@ -216,7 +216,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     and end: bytes of the document from the first to the last matched stretch.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = [docs.mapInArrow(_scan(items), MATCH_SCHEMA) for items in _blocks(benchmark)]
+    with arrow_batches(docs.sparkSession):
+        found = [stored(docs.mapInArrow(_scan(items), MATCH_SCHEMA), "matches") for items in _blocks(benchmark)]
     return reduce(DataFrame.union, found)
 
 

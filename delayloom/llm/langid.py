@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
-from delayloom.llm._spark import held_out, stored
+from delayloom.llm._spark import arrow_batches, held_out, stored
 
 LENGTHS = (1, 2, 3)
 BUCKET_BITS = 12
@@ -178,9 +178,10 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("letters"))
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return rows.mapInArrow(_predicted(model), RESULT_SCHEMA)
+    return stored(rows.mapInArrow(_predicted(model), RESULT_SCHEMA), "languages")
 
 
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score (0 to 1) of every row."""
-    return predict(docs, fit(docs))
+    with arrow_batches(docs.sparkSession):
+        return predict(docs, fit(docs))

@@ -12,8 +12,10 @@ table gives no rows.  Extra columns of the input are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
-from delayloom.llm._spark import grouped, parts_for, stored
+from delayloom.llm._spark import arrow_batches, grouped, parts_for, stored
 
 CAPACITY = 2048
 SEPARATOR_ID = 0
@@ -48,6 +50,12 @@ def _after_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     )
 
 
+def _merged(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Two tables as one, sorted by the first column."""
+    order = np.argsort(np.concatenate([a[0], b[0]]), kind="stable")
+    return tuple(np.concatenate([x, y])[order] for x, y in zip(a, b))
+
+
 class _Encoder:
     """Ids of texts, by encoding each distinct stretch of blanks and a word once.
 
@@ -60,31 +68,46 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids are kept in 16 bits; the vocabulary is larger")
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
+        """Two sorted tables of form hashes: many settled ones and a few new ones, merged now and then."""
+        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.ids = np.zeros(1 << 16, dtype=np.uint16)
         self.used = 0
-        self.starts, self.sizes = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
 
-    def _learn(self, keys: list[int], forms: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch(forms, add_special_tokens=False)]
-        flat = np.fromiter((i for ids in encoded for i in ids), dtype=np.uint32)
+    def _known(self, forms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and numbers of ids of each form, and which forms are not known."""
+        starts, sizes = np.zeros(len(forms), dtype=np.int64), np.zeros(len(forms), dtype=np.int64)
+        missing = np.ones(len(forms), dtype=bool)
+        for keys, own_starts, own_sizes in self.tables:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, forms), len(keys) - 1)
+                hit = keys[at] == forms
+                starts[hit], sizes[hit] = own_starts[at[hit]], own_sizes[at[hit]]
+                missing &= ~hit
+        return starts, sizes, missing
+
+    def _learn(self, keys: np.ndarray, forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode forms and remember them; their starts and numbers of ids."""
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(forms, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
+        flat = np.fromiter(chain.from_iterable(encoded), dtype=np.uint16, count=int(sizes.sum()))
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.known) + len(keys) > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-        first, sizes = len(self.known), np.fromiter((len(ids) for ids in encoded), dtype=np.int64)
         self.ids[self.used : self.used + len(flat)] = flat
-        self.starts[first : first + len(keys)] = self.used + tb.run_starts(sizes)
-        self.sizes[first : first + len(keys)] = sizes
+        starts = self.used + tb.run_starts(sizes)
         self.used += len(flat)
-        self.known.update(zip(keys, range(first, first + len(keys))))
+        old, new = self.tables
+        new = _merged(new, (keys, starts, sizes))
+        self.tables = [_merged(old, new), tuple(x[:0] for x in new)] if len(new[0]) > 30_000 else [old, new]
+        return starts, sizes
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the number of ids of each text."""
-        if len(self.known) > REMEMBERED_FORMS:
+        if len(self.tables[0][0]) > REMEMBERED_FORMS:
             self.forget()
         blank = tb.SPACE[data]
         cut = blank.copy()
@@ -96,24 +119,25 @@ class _Encoder:
         ends = np.append(starts[1:], len(data))
         hashes = tb.stretch_hashes(tb.prefix_sums(data, tb.BYTE_VALUES), starts, ends)
         forms, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = forms.tolist()
-        places = [self.known.get(k, -1) for k in keys]
-        new = [i for i, p in enumerate(places) if p < 0]
-        if new:
-            self._learn(
-                [keys[i] for i in new],
-                [data[starts[first[i]] : ends[first[i]]].tobytes().decode("utf-8", "replace") for i in new],
-            )
-            places = [self.known[k] for k in keys]
-        index = np.array(places, dtype=np.int64)[which] if len(keys) else np.zeros(0, dtype=np.int64)
-        sizes = self.sizes[index]
-        ids = self.ids[tb.expand(self.starts[index], sizes)]
+        form_starts, form_sizes, missing = self._known(forms)
+        new = np.flatnonzero(missing)
+        if len(new):
+            form_starts[new], form_sizes[new] = self._learn(
+                forms[new],
+                [data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace") for i in first[new].tolist()])
+        sizes = form_sizes[which]
+        ids = self.ids[tb.expand(form_starts[which], sizes)]
         edges = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, offsets)]
         return ids, np.diff(edges)
 
 
+#: A worker keeps its encoder, and so the forms it has met, from task to task.
+_encoders: dict[str, _Encoder] = {}
+
+
 def _piece_rows(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
-    encoder = _Encoder(path)
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
+    encoder = _encoders.get(path) or _encoders.setdefault(path, _Encoder(path))
     for batch in batches:
         data, offsets = tb.text_bytes(batch.column("text"))
         doc_ids = batch.column("doc_id")
@@ -255,4 +279,6 @@ def pack_documents(
     docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES
 ) -> DataFrame:
     """Tokenise and pack: doc_id, piece, start, length, ids_crc32, sequence_id, offset, certified."""
-    return pack(stored(token_pieces(docs, tokenizer_path, capacity), "pieces"), capacity, group_pieces)
+    with arrow_batches(docs.sparkSession):
+        pieces = stored(token_pieces(docs, tokenizer_path, capacity), "pieces")
+    return pack(pieces, capacity, group_pieces)

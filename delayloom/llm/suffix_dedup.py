@@ -37,9 +37,9 @@ from delayloom.llm._spark import arrow_batches, bucketed, grouped, parts_for, st
 MATCH_BYTES = 50
 GRAM_BYTES = 24
 REACH = MATCH_BYTES - GRAM_BYTES  # a string with a sample position begins at most so far before it
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Bytes of text whose samples meet in one bucket.
-BUCKET_TEXT_BYTES = 40e6
+BUCKET_TEXT_BYTES = 24e6
 _NULL_ID = np.iinfo(np.int64).max
 
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -248,16 +248,21 @@ def _rank_stretches(_: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
     yield from _answer(table, [x.tobytes() for x in np.split(out, cuts)])
 
 
+def _string_hashes(around: np.ndarray) -> np.ndarray:
+    """Hash of each of the REACH + 1 strings in each stretch."""
+    up, down = tb.powers("up", _STRETCH + 1), tb.powers("down", _STRETCH + 1)
+    sums = np.zeros((len(around), _STRETCH + 1), dtype=np.uint64)
+    np.cumsum(tb.BYTE_VALUES[around] * up[:_STRETCH], axis=1, out=sums[:, 1:])
+    return tb.mix((sums[:, MATCH_BYTES:] - sums[:, : REACH + 1]) * down[: REACH + 1])
+
+
 def _sort_strings(_: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
     """For each stretch, the bits of the strings in it that also start in a lesser document."""
     kinds = ((np.uint64, 1), (np.int64, 1), (np.uint8, 1), (np.uint8, 1), (np.uint8, _STRETCH))
     parts = [_columns(b, *kinds) for b in table.column("body").to_pylist()]
     gram, doc, left, right, around = (np.concatenate(c) for c in zip(*parts))
-    up, down = tb._power("up", _STRETCH + 1), tb._power("down", _STRETCH + 1)
-    sums = np.zeros((len(gram), _STRETCH + 1), dtype=np.uint64)
-    np.cumsum(tb.BYTE_VALUES[around] * up[:_STRETCH], axis=1, out=sums[:, 1:])
     starts = np.arange(REACH + 1)
-    strings = tb.mix((sums[:, MATCH_BYTES:] - sums[:, : REACH + 1]) * down[: REACH + 1]) ^ gram[:, None]
+    strings = np.concatenate([_string_hashes(around[a : a + 4096]) for a in range(0, len(gram), 4096)]) ^ gram[:, None]
     inside = (starts >= REACH - left[:, None].astype(np.int64)) & (starts <= right[:, None])
     row, start = np.nonzero(inside)
     key, owner = strings[row, start], doc[row]
@@ -329,7 +334,8 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     buckets = parts_for(total, BUCKET_TEXT_BYTES)
     parts = parts_for(total, 24e6, spark.sparkContext.defaultParallelism)
     schema = RESULT_SCHEMA + (", kept binary" if with_kept else "")
-    with bucketed(docs.mapInArrow(_chunk_rows, _CHUNK_SCHEMA), "chunk", parts) as chunks, arrow_batches(spark, 8):
+    with arrow_batches(spark), bucketed(docs.mapInArrow(_chunk_rows, _CHUNK_SCHEMA), "chunk", parts) as chunks, \
+            arrow_batches(spark, 8):
 
         def asked(source: DataFrame, send: Callable, answer: Callable, name: str) -> DataFrame:
             sent = source.mapInArrow(_over_chunks(buckets, send), _SENT_SCHEMA)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
-from delayloom.llm._spark import held_out, stored
+from delayloom.llm._spark import arrow_batches, held_out, stored
 
 FIT_ROWS = 16_000
 THRESHOLD = 0.3
@@ -88,7 +88,7 @@ def _counted_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         data, offsets = tb.text_bytes(batch.column("text"))
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
         half = batch.column("half").to_numpy(zero_copy_only=False)
-        for low, high in tb.steps(offsets, 4 * tb.STEP_BYTES):
+        for low, high in tb.steps(offsets, 2 * tb.STEP_BYTES):
             forms, counts = form_hashes(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
             doc = np.repeat(np.arange(low, high), counts)
             for kind, hashes in enumerate(forms):
@@ -329,9 +329,10 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    return rows.mapInArrow(_scored(model), RESULT_SCHEMA)
+    return stored(rows.mapInArrow(_scored(model), RESULT_SCHEMA), "toxicity")
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (1 from THRESHOLD on) of every row."""
-    return score(docs, fit(docs, labels))
+    with arrow_batches(docs.sparkSession):
+        return score(docs, fit(docs, labels))
