@@ -39,7 +39,7 @@ GRAM_BYTES = 24
 REACH = MATCH_BYTES - GRAM_BYTES  # a string with a sample position begins at most so far before it
 CHUNK_BYTES = 1 << 19
 #: Bytes of text whose samples meet in one bucket.
-BUCKET_TEXT_BYTES = 24e6
+BUCKET_TEXT_BYTES = 6e6
 _NULL_ID = np.iinfo(np.int64).max
 
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
