@@ -248,33 +248,33 @@ def _rank_stretches(_: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
     yield from _answer(table, [x.tobytes() for x in np.split(out, cuts)])
 
 
-def _string_hashes(around: np.ndarray) -> np.ndarray:
-    """Hash of each of the REACH + 1 strings in each stretch."""
-    up, down = tb.powers("up", _STRETCH + 1), tb.powers("down", _STRETCH + 1)
-    sums = np.zeros((len(around), _STRETCH + 1), dtype=np.uint64)
-    np.cumsum(tb.BYTE_VALUES[around] * up[:_STRETCH], axis=1, out=sums[:, 1:])
-    return tb.mix((sums[:, MATCH_BYTES:] - sums[:, : REACH + 1]) * down[: REACH + 1])
-
-
 def _sort_strings(_: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """For each stretch, the bits of the strings in it that also start in a lesser document."""
+    """For each stretch, the bits of the strings in it that also start in a lesser document.
+
+    Equal strings have their sample positions at equal distances, so strings are sorted one distance at a time.
+    """
     kinds = ((np.uint64, 1), (np.int64, 1), (np.uint8, 1), (np.uint8, 1), (np.uint8, _STRETCH))
     parts = [_columns(b, *kinds) for b in table.column("body").to_pylist()]
     gram, doc, left, right, around = (np.concatenate(c) for c in zip(*parts))
-    starts = np.arange(REACH + 1)
-    strings = np.concatenate([_string_hashes(around[a : a + 4096]) for a in range(0, len(gram), 4096)]) ^ gram[:, None]
-    inside = (starts >= REACH - left[:, None].astype(np.int64)) & (starts <= right[:, None])
-    row, start = np.nonzero(inside)
-    key, owner = strings[row, start], doc[row]
-    order = np.argsort(key, kind="stable")
-    k = key[order]
-    new = np.ones(len(k), dtype=bool)
-    new[1:] = k[1:] != k[:-1]
-    least = np.minimum.reduceat(owner[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-    later = order[owner[order] > least]
-    bits = np.zeros((len(gram), REACH + 1), dtype=np.uint32)
-    bits[row[later], start[later]] = 1
-    masks = (bits << starts.astype(np.uint32)).sum(axis=1, dtype=np.uint32)
+    up, down = tb.powers("up", MATCH_BYTES), tb.powers("down", REACH + 1)
+    string = np.zeros(len(gram), dtype=np.uint64)  # of the current start, without spreading
+    for place in range(MATCH_BYTES):
+        string += tb.BYTE_VALUES[around[:, place]] * up[place]
+    masks = np.zeros(len(gram), dtype=np.uint32)
+    step = tb.powers("up", MATCH_BYTES + 1)[MATCH_BYTES]
+    for start in range(REACH + 1):
+        inside = np.flatnonzero((start >= REACH - left.astype(np.int64)) & (start <= right))
+        key = tb.mix(string[inside]) ^ gram[inside]
+        order = np.argsort(key, kind="stable")
+        k, owner = key[order], doc[inside][order]
+        new = np.ones(len(k), dtype=bool)
+        new[1:] = k[1:] != k[:-1]
+        if len(k):
+            least = np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1]
+            masks[inside[order[owner > least]]] |= np.uint32(1 << start)
+        if start < REACH:
+            out, new_byte = tb.BYTE_VALUES[around[:, start]], tb.BYTE_VALUES[around[:, start + MATCH_BYTES]]
+            string = (string - out + new_byte * step) * down[1]
     cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
     yield from _answer(table, [x.tobytes() for x in np.split(masks, cuts)])
 
