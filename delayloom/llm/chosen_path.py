@@ -34,6 +34,8 @@ TREES = 16
 FIRST_TREES = 4
 SHALLOW, DEEP = 3, 5
 SMALL_NODE = 64
+#: Documents of one node that are compared in one task at once.
+BLOCK = 2000
 
 _WORD_STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -185,27 +187,39 @@ def _nodes(signatures: DataFrame, trees: int) -> DataFrame:
     return shared.select("tree", F.when(F.col("n") <= SMALL_NODE, F.col("shallow")).otherwise(F.col("deep")).alias("node"), "doc")
 
 
-def _links(nodes: DataFrame, classes: DataFrame | None, docs: DataFrame, size: int, percent: int, set_bytes: float) -> DataFrame:
-    """Confirmed links between documents of different classes that share a node."""
+def _links(nodes: DataFrame, classes: DataFrame | None, sets: DataFrame, percent: int, set_bytes: float) -> DataFrame:
+    """Confirmed links between documents of different classes that share a node.
+
+    A node of more than BLOCK documents is dealt over blocks.  Without classes each document goes to one block,
+    another in every tree.  With classes, the documents of the node's largest class go to one block each and the
+    others to all blocks, so every pair of different classes still meets.
+    """
     if classes is None:
         members = nodes.withColumn("class", F.col("doc"))
     else:
         joined = nodes.join(classes.select(F.col("node").alias("doc"), F.col("component").alias("class")), "doc", "left")
         members = joined.withColumn("class", F.coalesce("class", "doc"))
     # nodes with the same members are one node; a node whose members are in one class is settled
-    kinds = members.groupBy("node").agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("mark"),
-        F.min("class").alias("low"), F.max("class").alias("high"),
-    ).filter("low <> high")
-    one = kinds.groupBy("n", "mark").agg(F.min("node").alias("node")).select("node")
-    chosen = stored(members.join(one, "node").select("node", "doc", "class"), "nodes")
-    wanted = chosen.select("doc").distinct()
-    texts = docs.select(F.col("doc_id").alias("d"), "text").join(wanted.select(F.col("doc").alias("d")), "d", "left_semi")
-    sets = texts.select(F.col("d").alias("doc_id"), "text").mapInArrow(_full_sets(size), "doc long, tokens binary")
-    sets = sets.groupBy("doc").agg(F.first("tokens").alias("tokens"))  # repeated rows of one doc_id
-    parts = parts_for(chosen.count() * set_bytes, 24e6, docs.sparkSession.sparkContext.defaultParallelism)
+    shares = members.groupBy("node", "class").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("mark"))
+    kinds = shares.groupBy("node").agg(
+        F.sum("n").alias("n"), F.sum("mark").alias("mark"), F.count("*").alias("classes"),
+        F.max_by("class", F.struct("n", "class")).alias("largest"),
+    ).filter("classes > 1")
+    one = kinds.groupBy("n", "mark").agg(F.min(F.struct("node", "largest")).alias("k")).select("n", "k.*")
+    chosen = members.join(one, "node")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("doc", "tree"), blocks).cast("int")
+    if classes is None:
+        placed = chosen.withColumn("block", own)
+    else:
+        everywhere = (F.col("class") != F.col("largest")) & (blocks > 1)
+        placed = chosen.withColumn("block", F.explode(
+            F.when(everywhere, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
+    placed = stored(placed.select(F.xxhash64("node", "block").alias("node"), "doc", "class"), "nodes")
+    parts = parts_for(placed.count() * set_bytes, 16e6, sets.sparkSession.sparkContext.defaultParallelism)
     return stored(
-        chosen.join(sets, "doc").repartition(parts, "node").sortWithinPartitions("node", "doc")
+        placed.join(sets.hint("merge"), "doc").repartition(parts, "node").sortWithinPartitions("node", "doc")
         .mapInArrow(_node_links(percent), "a long, b long"),
         "confirmed",
     )
@@ -230,9 +244,13 @@ def _near_duplicates(docs: DataFrame, shingle_words: int, min_percent: int, tree
     nodes = stored(_nodes(leaders.dropDuplicates(["doc_id"]), trees), "tree-nodes")
     size = full.agg(F.avg("n_shingles")).first()[0] or 0
     wide = 8.0 * size + 64
-    some = _links(nodes.filter(F.col("tree") < FIRST_TREES), None, docs, shingle_words, min_percent, wide)
+    # joined the same way at every size: only texts that share a node move
+    wanted = nodes.select(F.col("doc").alias("doc_id")).distinct().hint("merge")
+    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(shingle_words), "doc long, tokens binary")
+    sets = stored(sets, "sets").dropDuplicates(["doc"])  # repeated rows of one doc_id
+    some = _links(nodes.filter(F.col("tree") < FIRST_TREES), None, sets, min_percent, wide)
     classes = components(some)
-    more = _links(nodes.filter(F.col("tree") >= FIRST_TREES), classes, docs, shingle_words, min_percent, wide)
+    more = _links(nodes, classes, sets, min_percent, wide)
     classes = components(some.union(more))
     folded = same.join(classes.select(F.col("node").alias("first"), "component"), "first", "left").select(
         "n_shingles", "sum_a", "sum_b", F.coalesce("component", "first").alias("component"))
