@@ -1,8 +1,7 @@
 """Exact, order-independent aggregates and the two-step grouping they share.
 
 Float sums change with the order in which partitions finish.  Means here are
-taken over exact sums (whole seconds as bigint, six-decimal values as
-decimal), so a result does not depend on partitioning, retries or the cluster
+taken over exact sums (six-decimal values as decimal), so a result does not depend on partitioning, retries or the cluster
 size.
 
 ``two_step`` groups by the wanted keys *plus* one finer column, then by the
@@ -24,10 +23,13 @@ SIX_DECIMALS = "decimal(18,6)"
 
 
 def observed_seconds(df: DataFrame) -> Column:
-    """Observed delay in whole seconds; tables that only keep minutes hold seconds / 60."""
-    if "delay_seconds" in df.columns:
-        return F.col("delay_seconds").cast("bigint")
-    return F.round(F.col("delay_minutes") * 60).cast("bigint")
+    """Observed delay in seconds, as an exact six-decimal value taken from the minutes.
+
+    A record counts by its minutes: the seconds of a feed may be absent or fractional.
+    """
+    if "delay_minutes" in df.columns:
+        return F.round(F.col("delay_minutes") * 60, 6).try_cast(SIX_DECIMALS)
+    return F.col("delay_seconds").try_cast(SIX_DECIMALS)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -40,21 +42,13 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 
 
 def mean_minutes(seconds: Column) -> Column:
-    return F.sum(seconds) / F.nullif(F.count(seconds), F.lit(0)) / F.lit(60)
+    return F.sum(seconds).cast("double") / F.nullif(F.count(seconds), F.lit(0)) / F.lit(60)
 
 
 def mean_six_decimals(value: Column) -> Column:
     return F.sum(value.cast(SIX_DECIMALS)).cast("double") / F.nullif(F.count(value), F.lit(0))
 
 
-def max_minutes(seconds: Column) -> Column:
-    return F.max(seconds) / F.lit(60)
-
-
-def min_minutes(seconds: Column) -> Column:
-    return F.min(seconds) / F.lit(60)
-
-
 @dataclass(frozen=True)
 class Measure:
     """One output column: partial aggregates by suffix, and how to finish them."""
@@ -91,12 +85,12 @@ def smallest(name: str, value: Column, finish: Callable[[Column], Column] = lamb
 
 
 def largest_minutes(name: str, seconds: Column, digits: int) -> Measure:
-    return largest(name, seconds, lambda m: F.round(m / F.lit(60), digits))
+    return largest(name, seconds, lambda m: F.round(m.cast("double") / F.lit(60), digits))
 
 
 def average_minutes(name: str, seconds: Column, digits: int | None) -> Measure:
     def finish(p):
-        mean = F.sum(p("s")) / F.nullif(F.sum(p("n")), F.lit(0)) / F.lit(60)
+        mean = F.sum(p("s")).cast("double") / F.nullif(F.sum(p("n")), F.lit(0)) / F.lit(60)
         return mean if digits is None else F.round(mean, digits)
 
     return Measure(name, {"s": F.sum(seconds), "n": F.count(seconds)}, finish)

@@ -51,7 +51,7 @@ def clean_observations(df: DataFrame) -> DataFrame:
             "direction_id": to_long(F.col("direction_id")),
             "start_date": to_long(F.col("start_date")),
             "timestamp": to_long(F.col("timestamp")),
-            "delay_seconds": to_long(F.col("delay_seconds")),
+            "delay_seconds": to_double(F.col("delay_seconds")),
             "delay_minutes": to_double(F.col("delay_minutes")),
             "is_deleted": to_flag(F.col("is_deleted")),
             "route_id": F.col("route_id").cast("string"),
@@ -65,7 +65,7 @@ def clean_observations(df: DataFrame) -> DataFrame:
 
 def normalize_realtime_types(df: DataFrame) -> DataFrame:
     """Type whichever of the known columns are present; derive the date if it is missing."""
-    numbers = {"direction_id": to_long, "timestamp": to_long, "delay_seconds": to_long,
+    numbers = {"direction_id": to_long, "timestamp": to_long, "delay_seconds": to_double,
                "delay_minutes": to_double, "collection_coverage_hours": to_double}
     changes = {name: parse(F.col(name)) for name, parse in numbers.items() if name in df.columns}
     changes["collection_time_utc"] = to_utc_timestamp(F.col("collection_time_utc"))

@@ -40,10 +40,13 @@ def attach_completeness(obs: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def attach_file_stats(daily: DataFrame, stats: DataFrame) -> DataFrame:
-    return daily.join(
-        stats.select("collection_date", "source_file", "raw_csv_rows", "duplicate_header_rows"),
-        "collection_date", "left",
+    """Line counters per day, summed over the day's files; the first file name stands for all of them."""
+    per_day = stats.groupBy("collection_date").agg(
+        F.min("source_file").alias("source_file"),
+        F.sum("raw_csv_rows").alias("raw_csv_rows"),
+        F.sum("duplicate_header_rows").alias("duplicate_header_rows"),
     )
+    return daily.join(per_day, "collection_date", "left")
 
 
 def route_metadata(routes: DataFrame) -> DataFrame:

@@ -1,37 +1,32 @@
 """Feature contributions by re-scoring: permutation and leave-one-out.
 
-Both work on a seeded sample of fixed size, as the explanations they replace
-do.  All altered copies of the sample are scored in one pass.
+Both explain every row they are given.  All altered copies of the rows are
+scored in one pass, and nothing is ordered beyond a block of rows.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from delayloom import rules, schemas
-from delayloom.operators.features import min_max_normalise
+from delayloom import schemas
+from delayloom.operators.features import CONTRIBUTION_TYPE, mean_abs_contribution, min_max_normalise
 from delayloom.operators.model_prep import SEED, draw
 from delayloom.operators.models import TARGET, TrainedModel, score_class
 from delayloom.session import ensure_checkpoint_dir
 
-MAX_EXPLAINED_ROWS = 1_000
-MAX_POINT_ROWS = 400
+#: Rows that exchange values with one another when a feature is permuted.
+BLOCK_ROWS = 10_000
 
 
-def seeded_rows(df: DataFrame, key: Sequence[str], limit: int, seed: int = SEED) -> DataFrame:
-    """A fixed choice of ``limit`` rows, numbered from 0, whatever the partitioning.
-
-    Only this many rows are ever ordered together; they are stored because
-    every explanation reads them several times.
-    """
+def explained_rows(df: DataFrame) -> DataFrame:
+    """All rows with a ``row_id`` of their own, stored because every explanation reads them several times."""
     ensure_checkpoint_dir(df.sparkSession)
-    chosen = df.withColumn("_draw", draw(key, seed)).orderBy("_draw", *key).limit(limit)
-    place = F.row_number().over(W.orderBy("_draw", *key)) - 1
-    return chosen.withColumn("row_id", place).drop("_draw").checkpoint()
+    return df.withColumn("row_id", F.monotonically_increasing_id()).checkpoint()
 
 
 def _altered_copies(sample: DataFrame, replacements: dict, features: Sequence[str]) -> DataFrame:
@@ -52,18 +47,22 @@ def permutation_importance(
     key: Sequence[str],
     features: Sequence[str] = schemas.FEATURES,
     target: str = TARGET,
-    limit: int = MAX_EXPLAINED_ROWS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Rise of the log loss when a feature takes the values of other sampled rows."""
-    sample = seeded_rows(test, key, limit, seed)
-    # A second seeded order of the same rows gives every row a donor.
-    donor_place = F.row_number().over(W.orderBy(draw(["row_id"], seed + 1), "row_id")) - 1
-    donors = sample.select(
-        donor_place.alias("row_id"), *(F.col(name).alias(f"_donor_{name}") for name in features)
-    )
-    paired = sample.join(donors, "row_id")
-    copies = _altered_copies(paired, {name: F.col(f"_donor_{name}") for name in features}, features)
+    """Rise of the log loss when a feature takes the values of other rows.
+
+    Rows are dealt at random over blocks; within a block each takes the values of the next in a second random order.
+    """
+    rows = explained_rows(test)
+    blocks = math.ceil(rows.count() / BLOCK_ROWS)
+    block = F.pmod(F.xxhash64(draw(key, seed), "row_id"), F.lit(max(1, blocks)))
+    order = W.partitionBy("_block").orderBy("_order", "row_id")
+    values = F.struct(*(F.col(name) for name in features))
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    donor = F.coalesce(F.lead(values).over(order), F.first(values).over(whole))
+    placed = rows.withColumns({"_block": block, "_order": draw([*key, "row_id"], seed + 1)})
+    paired = placed.withColumn("_donor", donor)
+    copies = _altered_copies(paired, {name: F.col("_donor")[name] for name in features}, features)
     scored = score_class(model, copies)
     p = F.greatest(F.least(F.col("predicted_actionable_probability"), F.lit(1 - 1e-15)), F.lit(1e-15))
     loss = -F.when(F.col(target) == 1, F.log(p)).otherwise(F.log(1 - p))
@@ -79,47 +78,54 @@ def permutation_importance(
     )
 
 
-def contributions(model: TrainedModel, sample: DataFrame, features: Sequence[str] = schemas.FEATURES) -> DataFrame:
+def contributions(model: TrainedModel, rows: DataFrame, features: Sequence[str] = schemas.FEATURES) -> DataFrame:
     """Change of the probability when one feature takes its typical training value.
 
-    ``sample`` comes from ``seeded_rows``; the result is (row_id, feature, shap_value).
+    ``rows`` comes from ``explained_rows``; the result is (row_id, feature, value, shap_value).
     """
     typical = {
         **{name: F.lit(value) for name, value in model.encoding.medians.items()},
         **{name: F.lit(value) for name, value in model.encoding.modes.items()},
     }
-    scored = score_class(model, _altered_copies(sample, typical, features))
-    probability = F.col("predicted_actionable_probability")
-    untouched = F.max(F.when(F.col("altered") == "", probability)).over(W.partitionBy("row_id"))
-    return (
-        scored.select("row_id", "altered", (untouched - probability).alias("shap_value"))
-        .filter(F.col("altered") != "")
-        .withColumnRenamed("altered", "feature")
+    probability = "predicted_actionable_probability"
+    own = score_class(model, rows).withColumnRenamed(probability, "_own").drop("predicted_actionable_delay_risk")
+    numbered = own.withColumn("_values", F.create_map(*(part for n in features for part in (F.lit(n), _as_number(n)))))
+    scored = score_class(model, _altered_copies(numbered, typical, features).filter(F.col("altered") != ""))
+    return scored.select(
+        "row_id",
+        F.col("altered").alias("feature"),
+        F.col("_values")[F.col("altered")].alias("value"),
+        (F.col("_own") - F.col(probability)).alias("shap_value"),
     )
 
 
-def contribution_points(
-    model: TrainedModel,
-    test: DataFrame,
-    key: Sequence[str],
-    top_n: int = 10,
-    max_rows: int = MAX_POINT_ROWS,
-    exclude: Sequence[str] = (rules.INFREQUENT_CATEGORY,),
-    subset: Sequence[str] | None = None,
-    seed: int = SEED,
-) -> DataFrame:
-    """Long points behind a contribution plot: the top features by mean absolute contribution."""
-    features = list(subset) if subset is not None else [n for n in schemas.FEATURES if n not in exclude]
-    sample = seeded_rows(test, key, MAX_EXPLAINED_ROWS, seed)
-    rows = contributions(model, sample, features).checkpoint()
+def contribution_rows(model: TrainedModel, test: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """Stored contributions of all features but ``exclude``, for the two tables made of them."""
+    features = [name for name in schemas.FEATURES if name not in exclude]
+    return contributions(model, explained_rows(test), features).checkpoint()
+
+
+def contribution_importance(rows: DataFrame, source: str) -> DataFrame:
+    """Mean absolute contribution per feature as rows of the long importance table."""
+    return mean_abs_contribution(rows).select(
+        F.lit(source).alias("source"),
+        F.lit(CONTRIBUTION_TYPE).alias("explainability_type"),
+        "feature",
+        "importance",
+        F.lit("Mean absolute change of the probability against the typical value.").alias("notes"),
+    )
+
+
+def contribution_points(rows: DataFrame, top_n: int = 10, subset: Sequence[str] | None = None) -> DataFrame:
+    """Long points behind a contribution plot: the top features by mean absolute contribution, or ``subset``."""
     means = rows.groupBy("feature").agg(F.avg(F.abs("shap_value")).alias("mean_abs"))
     if subset is None:
         means = means.orderBy(F.desc("mean_abs"), "feature").limit(top_n)
-    numeric = [F.struct(F.lit(n).alias("feature"), _as_number(n).alias("value")) for n in features]
-    values = sample.filter(F.col("row_id") < max_rows).select("row_id", F.inline(F.array(*numeric)))
-    points = rows.join(means, "feature").join(values, ["row_id", "feature"])
-    scaled = min_max_normalise(points)
-    return scaled.select("feature", "shap_value", "value_norm", "mean_abs", F.col("row_id").cast("int").alias("row_id"))
+    else:
+        means = means.filter(F.col("feature").isin(*subset))
+    # One row per feature of a fixed list, so neither lookup grows with the data.
+    points = rows.join(F.broadcast(means), "feature")
+    return min_max_normalise(points).select("feature", "shap_value", "value_norm", "mean_abs", "row_id")
 
 
 def _as_number(name: str):

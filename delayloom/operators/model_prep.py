@@ -96,10 +96,6 @@ def stratified_split(
     return _take_per_stratum(df, [target], key, seed, wanted).withColumnRenamed("_taken", "is_test")
 
 
-def approximate_sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-
-
 def split_dates(df: DataFrame, test_share: float = TEST_DATE_SHARE) -> DataFrame:
     """Distinct dates with ``is_test`` set on the last share of them (at least one).
 

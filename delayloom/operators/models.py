@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -49,7 +49,7 @@ class TrainedModel:
     def feature_names(self, scored: DataFrame) -> list[str]:
         groups = scored.schema["features"].metadata["ml_attr"]["attrs"]
         named = sorted((item["idx"], item["name"]) for group in groups.values() for item in group)
-        return [name for _, name in named]
+        return [name.replace("_onehot_", "_", 1) for _, name in named]
 
 
 def _stages(encoding: FittedEncoding) -> list:
@@ -154,8 +154,3 @@ def model_importance(model: TrainedModel, sample: DataFrame, source: str) -> Dat
         for name, value in zip(names, values)
     ]
     return sample.sparkSession.createDataFrame(rows, schemas.IMPORTANCE_LONG)
-
-
-def quick(settings: TreeSettings, trees: int) -> TreeSettings:
-    """The same settings with another number of trees."""
-    return replace(settings, trees=trees)

@@ -34,8 +34,8 @@ def _modal_action(alias: str):
     return F.coalesce(action, F.lit(rules.UNAVAILABLE)).alias(alias)
 
 
-def top_routes(ai: DataFrame, limit: int = 10, where: DashboardFilter = DEFAULT) -> DataFrame:
-    """Routes with the most predicted actionable records, then the longest predicted delay."""
+def top_routes(ai: DataFrame, limit: int | None = 10, where: DashboardFilter = DEFAULT) -> DataFrame:
+    """Routes with the most predicted actionable records, then the longest predicted delay; all without a limit."""
     source = where.apply(ai)
     special = labels.is_special(source)
     source = source.withColumns(
@@ -52,7 +52,7 @@ def top_routes(ai: DataFrame, limit: int = 10, where: DashboardFilter = DEFAULT)
     )
     keys = ["service_type", "route_display_name", "route_corridor_name", "route_id", "is_special_route"]
     delay = F.col("predicted_delay_minutes")
-    return (
+    ranked = (
         two_step(
             source,
             keys,
@@ -67,8 +67,8 @@ def top_routes(ai: DataFrame, limit: int = 10, where: DashboardFilter = DEFAULT)
             [_modal_action("recommended_action")],
         )
         .orderBy(F.desc("actionable_records"), F.desc_nulls_last("avg_delay_minutes"), *keys)
-        .limit(limit)
     )
+    return ranked if limit is None else ranked.limit(limit)
 
 
 def route_options(ai: DataFrame, where: DashboardFilter = DEFAULT) -> DataFrame:

@@ -8,6 +8,7 @@ from delayloom import rules
 from delayloom.functions.lookups import measured
 from delayloom.functions.measures import rule_rows
 from delayloom.operators import cleaning, enrich, summaries
+from delayloom.plans.storage_build import SALTS
 from delayloom.sources import writers
 
 
@@ -18,13 +19,14 @@ def integrate(
     weather: DataFrame,
     lo: float = rules.MIN_REASONABLE_DELAY_MINUTES,
     hi: float = rules.MAX_REASONABLE_DELAY_MINUTES,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Outlier filter, time features, route names, weather, risk and action, as one lazy plan."""
     timed = cleaning.add_time_features(cleaning.filter_outliers(cleaning.drop_incomplete(obs), lo, hi))
     if "service_type" not in timed.columns:
-        timed = enrich.attach_routes(timed, enrich.route_metadata(routes))
+        timed = enrich.attach_routes(timed, enrich.route_metadata(routes), salts)
     corridors = measured(enrich.corridor_lookup(routes, enrich.corridor_labels(trips, routes)))
-    named = enrich.attach_corridors(timed.drop("route_corridor_name"), corridors)
+    named = enrich.attach_corridors(timed.drop("route_corridor_name"), corridors, salts)
     return cleaning.decision_table(cleaning.label_decisions(enrich.attach_weather(named, weather)))
 
 

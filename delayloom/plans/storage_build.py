@@ -11,8 +11,12 @@ from delayloom.operators import enrich, quality, summaries
 from delayloom.sources import readers, writers
 
 
-def enriched_observations(obs: DataFrame, manifest: DataFrame, routes: DataFrame) -> DataFrame:
-    joined = enrich.attach_routes(enrich.attach_completeness(obs, manifest), enrich.route_metadata(routes))
+# A busy route may hold a large part of all rows; beyond the broadcast threshold its lookup is spread over this many tasks.
+SALTS = 8
+
+
+def enriched_observations(obs: DataFrame, manifest: DataFrame, routes: DataFrame, salts: int = SALTS) -> DataFrame:
+    joined = enrich.attach_routes(enrich.attach_completeness(obs, manifest), enrich.route_metadata(routes), salts)
     return joined.select(*schemas.CLEAN_COLUMNS)
 
 
@@ -38,6 +42,8 @@ def build_storage(
         "overwrite"
     ).parquet(f"{out_dir}/completeness")
     manifest = spark.read.parquet(f"{out_dir}/completeness")
+    if manifest.isEmpty():
+        raise ValueError(f"no valid rows in the daily logs of {daily_dir}")
     routes = readers.read_dimension(spark, static_dir, "routes")
     writers.write_baseline_tables(
         enriched_observations(obs, manifest, routes), f"{out_dir}/observations", f"{out_dir}/observations_baseline"

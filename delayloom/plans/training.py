@@ -78,18 +78,19 @@ def train_and_publish(
     regressor_settings: models.TreeSettings = models.REGRESSOR,
     max_rows: int = model_prep.MAX_MODEL_ROWS,
 ) -> DataFrame:
-    """Train both models on a stratified sample, write every output, return the metrics.
+    """Train both models, write every output, return the metrics.
 
-    The sample is written once and read back, so that boosting iterates over a
-    stored table of bounded size instead of the full history.
+    The split comes first: metrics and explanations cover all test rows, and encoding, baselines and the regressor
+    all training rows.  Only the classifier is fitted on a stratified sample of at most ``max_rows`` training rows.
     """
     spark = decisions.sparkSession
-    full = cleaning.model_input(decisions)
-    model_prep.stratified_sample(full, key, max_rows).write.mode("overwrite").parquet(f"{out_dir}/modeling_sample")
+    cleaning.model_input(decisions).write.mode("overwrite").parquet(f"{out_dir}/modeling_input")
+    full = spark.read.parquet(f"{out_dir}/modeling_input")
+    train, test = model_prep.time_split(full)
+    model_prep.stratified_sample(train, key, max_rows).write.mode("overwrite").parquet(f"{out_dir}/modeling_sample")
     sample = spark.read.parquet(f"{out_dir}/modeling_sample")
-    train, test = model_prep.time_split(sample)
     encoding = model_prep.fit_encoding(train)
-    classifier = models.train_classifier(train, classifier_settings, encoding)
+    classifier = models.train_classifier(sample, classifier_settings, encoding)
     regressor = models.train_regressor(train, regressor_settings, encoding)
     _union(
         [
@@ -98,14 +99,16 @@ def train_and_publish(
             hourly_baseline_metrics(decisions),
         ]
     ).write.mode("overwrite").parquet(f"{out_dir}/model_metrics")
+    contributions = explain.contribution_rows(classifier, test)
     _union(
         [
             models.model_importance(classifier, train, CLASSIFIER_NAME),
             models.model_importance(regressor, train, REGRESSOR_NAME),
             explain.permutation_importance(classifier, test, key),
+            explain.contribution_importance(contributions, CLASSIFIER_NAME),
         ]
     ).write.mode("overwrite").parquet(f"{out_dir}/feature_importance")
-    explain.contribution_points(classifier, test, key).write.mode("overwrite").parquet(
+    explain.contribution_points(contributions).write.mode("overwrite").parquet(
         f"{out_dir}/contribution_points"
     )
     predicted = cleaning.prediction_frame(models.score(classifier, regressor, full))

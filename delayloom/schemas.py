@@ -38,7 +38,7 @@ DERIVED_COLUMNS = (
 CLEAN_COLUMNS = RAW_COLUMNS + DERIVED_COLUMNS
 CLEAN_OBSERVATION = _fields("""
     collection_time_utc TIMESTAMP, entity_id STRING, trip_id STRING, route_id STRING, direction_id BIGINT,
-    start_time STRING, start_date BIGINT, timestamp BIGINT, delay_seconds BIGINT, is_deleted BOOLEAN,
+    start_time STRING, start_date BIGINT, timestamp BIGINT, delay_seconds DOUBLE, is_deleted BOOLEAN,
     delay_minutes DOUBLE, collection_date STRING, source_file STRING, collection_day_status STRING,
     collection_coverage_hours DOUBLE, is_partial_day BOOLEAN, is_model_baseline_day BOOLEAN, agency_id STRING,
     route_short_name STRING, route_long_name STRING, route_type INT, service_type STRING,
@@ -55,7 +55,7 @@ DECISION = _fields("""
     collection_coverage_hours DOUBLE, is_partial_day BOOLEAN, is_model_baseline_day BOOLEAN,
     route_id STRING, route_short_name STRING, route_long_name STRING, route_type BIGINT, agency_id STRING,
     service_type STRING, route_display_name STRING, route_corridor_name STRING, is_special_route BOOLEAN,
-    trip_id STRING, direction_id BIGINT, delay_seconds BIGINT, delay_minutes DOUBLE, delay_risk STRING,
+    trip_id STRING, direction_id BIGINT, delay_seconds DOUBLE, delay_minutes DOUBLE, delay_risk STRING,
     recommended_action STRING, trip_hour BIGINT, weekday BIGINT, day_of_month BIGINT,
     temperature_2m DOUBLE, precipitation DOUBLE, rain DOUBLE, relative_humidity_2m DOUBLE,
     wind_speed_10m DOUBLE, source_file STRING

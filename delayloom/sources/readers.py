@@ -12,10 +12,24 @@ from delayloom.functions.parsing import to_double, to_long, to_utc_timestamp
 from delayloom.operators.cleaning import clean_column_names, clean_observations, remove_header_rows, require_columns
 from delayloom.operators.enrich import first_per_key
 
-DAILY_GLOB = "gtfs_realtime_*.csv"
+# Landed daily files, and the part files that writers.append_daily and writers.split_log_by_day put in day folders.
+DAILY_GLOB = "{gtfs_realtime_*,part-*}.csv"
 _DAY_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
+def _source_file() -> Column:
+    """Name of the file a row comes from, with its day folder if it lies in one."""
+    path = F.col("_metadata.file_path")
+    folder = F.regexp_extract(path, r"(collection_date=[^/]+/)[^/]+$", 1)
+    return F.concat(folder, F.col("_metadata.file_name"))
+
+
+def _files_found(df: DataFrame, directory: str, pattern: str) -> DataFrame:
+    if not df.inputFiles():
+        raise FileNotFoundError(f"no daily logs match {pattern} in {directory}")
+    return df
+
+
 def flatten_snapshots(documents: DataFrame) -> DataFrame:
     """One row per entity of every trip-update document; absent keys are null.
 
@@ -54,17 +68,18 @@ def read_snapshots(spark: SparkSession, path: str, collected_at: Column | None =
 
 
 def read_daily_logs(spark: SparkSession, directory: str, pattern: str = DAILY_GLOB) -> DataFrame:
-    """All daily CSV logs in one scan, cleaned and tagged with their file name."""
+    """All daily CSV logs in one scan, cleaned and tagged with their file name; no file at all is an error."""
     raw = (
         spark.read.schema(schemas.RAW_OBSERVATION)
         .option("header", True)
         .option("enforceSchema", False)  # a header that does not match the contract is an error
         .option("mode", "PERMISSIVE")
         .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
         .csv(directory)
-        .select("*", F.col("_metadata.file_name").alias("source_file"))
     )
-    return clean_observations(raw)
+    found = _files_found(raw, directory, pattern)
+    return clean_observations(found.select("*", _source_file().alias("source_file")))
 
 
 def file_row_stats(spark: SparkSession, directory: str, pattern: str = DAILY_GLOB) -> DataFrame:
@@ -74,11 +89,8 @@ def file_row_stats(spark: SparkSession, directory: str, pattern: str = DAILY_GLO
     raw column list.  Files count lines without parsing them.
     """
     header = ",".join(schemas.RAW_COLUMNS)
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .text(directory)
-        .select("value", F.col("_metadata.file_name").alias("source_file"))
-    )
+    found = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(directory)
+    lines = _files_found(found, directory, pattern).select("value", _source_file().alias("source_file"))
     is_header = F.rtrim(F.regexp_replace("value", "^﻿", "")) == header
     return (
         lines.groupBy("source_file")

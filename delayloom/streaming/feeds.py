@@ -53,7 +53,7 @@ def hourly_delay(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("records"),
             F.round(mean_minutes(seconds), 6).alias("avg_delay_minutes"),
-            F.max(seconds).alias("max_delay_seconds"),
+            F.max(seconds).cast("double").alias("max_delay_seconds"),
         )
         .select(F.col("window.start").alias("hour"), "route_id", "records", "avg_delay_minutes", "max_delay_seconds")
     )

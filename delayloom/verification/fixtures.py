@@ -8,7 +8,7 @@ Special services (S-prefixed ids) are not in the schedule, as in the field.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +50,7 @@ def observations_of(events: DataFrame) -> DataFrame:
     seconds = (F.round(F.col("value") * 100).cast("bigint") * 7) % 3600 - 1200 + F.when(
         event % 97 == 0, F.lit(9000)
     ).otherwise(F.lit(0))
+    exact = seconds.cast("double") + F.when(event % 89 == 0, F.lit(0.5)).otherwise(F.lit(0.0))
     return events.select(
         when.alias("collection_time_utc"),
         _text("E", event).alias("entity_id"),
@@ -59,13 +60,15 @@ def observations_of(events: DataFrame) -> DataFrame:
         F.date_format(when, "HH:00:00").alias("start_time"),
         F.date_format(when, "yyyyMMdd").cast("bigint").alias("start_date"),
         F.unix_seconds(when).alias("timestamp"),
-        seconds.alias("delay_seconds"),
+        # The feed leaves some seconds out and reports others in fractions; the minutes are always there.
+        F.when(event % 83 != 0, exact).alias("delay_seconds"),
+        (exact / 60).alias("delay_minutes"),
         (event % 100 == 0).alias("is_deleted"),
         date_text(when).alias("collection_date"),
         _text("gtfs_realtime_", date_text(when), ".csv").alias("source_file"),
         event.alias("event_id"),
         user.alias("user_id"),
-    ).withColumn("delay_minutes", F.col("delay_seconds") / 60)
+    )
 
 
 @dataclass(frozen=True)
@@ -74,6 +77,7 @@ class DriverTables:
 
     spark: SparkSession
     folder: str
+    trained: dict = field(default_factory=dict, compare=False)
 
     def table(self, name: str) -> DataFrame:
         apply_session_defaults(self.spark)
@@ -231,7 +235,7 @@ class DriverTables:
             {
                 "predicted_actionable_probability": probability,
                 "predicted_actionable_delay_risk": (probability >= 0.5).cast("int"),
-                "predicted_delay_minutes": F.col("delay_seconds") / 120,
+                "predicted_delay_minutes": F.col("delay_minutes") / 2,
             }
         )
         return cleaning.prediction_frame(scored)

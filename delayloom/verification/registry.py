@@ -224,44 +224,51 @@ def _long_metrics(d: DriverTables) -> DataFrame:
 
 SAMPLE_ROWS = 2_000
 RARE_ROWS = 55
-# The library trains 160 and 180 trees; the registered queries use fewer so that a check run stays short.
-QUERY_TREES = 20
 _MODEL_KEY = ("collection_time_utc", "route_id", "delay_minutes")
 
 
 def _model_sides(d: DriverTables) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows of the modelling sample, which is checkpointed: boosting passes over it many times."""
+    """All train and test rows, checkpointed: boosting passes over them many times."""
     ensure_checkpoint_dir(d.spark)
-    full = cleaning.model_input(d.decisions)
-    return model_prep.time_split(model_prep.stratified_sample(full, _MODEL_KEY).checkpoint())
+    return model_prep.time_split(cleaning.model_input(d.decisions).checkpoint())
+
+
+def _classifier(d: DriverTables) -> tuple[models.TrainedModel, DataFrame]:
+    """The classifier as the training plan fits it, shared by the queries of a session, and all test rows."""
+    if "classifier" not in d.trained:
+        train, test = _model_sides(d)
+        sample = model_prep.stratified_sample(train, _MODEL_KEY).checkpoint()
+        d.trained["classifier"] = models.train_classifier(sample, encoding=model_prep.fit_encoding(train)), test
+    return d.trained["classifier"]
 
 
 def _gbt_metrics(d: DriverTables) -> DataFrame:
-    train, test = _model_sides(d)
-    encoding = model_prep.fit_encoding(train)
-    classifier = models.train_classifier(train, models.quick(models.CLASSIFIER, QUERY_TREES), encoding)
-    scored = models.score_class(classifier, test)
-    one = metrics.classification_metrics(scored, models.TARGET, "predicted_actionable_delay_risk")
+    classifier, test = _classifier(d)
+    one = metrics.classification_metrics(
+        models.score_class(classifier, test), models.TARGET, "predicted_actionable_delay_risk"
+    )
     return metrics.metric_rows(one, training.CLASSIFIER_NAME, "classification", models.TARGET)
 
 
 def _gbt_delays(d: DriverTables) -> DataFrame:
     train, test = _model_sides(d)
-    regressor = models.train_regressor(train, models.quick(models.REGRESSOR, QUERY_TREES))
+    regressor = models.train_regressor(train)
     one = metrics.regression_metrics(models.score_delay(regressor, test), "delay_minutes", "predicted_delay_minutes")
     return metrics.metric_rows(one, training.REGRESSOR_NAME, "regression", "delay_minutes")
 
 
 def _permutation(d: DriverTables) -> DataFrame:
-    train, test = _model_sides(d)
-    classifier = models.train_classifier(train, models.quick(models.CLASSIFIER, QUERY_TREES))
-    return explain.permutation_importance(classifier, test, _MODEL_KEY)
+    return explain.permutation_importance(*_classifier(d), _MODEL_KEY)
 
 
 def _contribution_points(d: DriverTables) -> DataFrame:
-    train, test = _model_sides(d)
-    classifier = models.train_classifier(train, models.quick(models.CLASSIFIER, QUERY_TREES))
-    return explain.contribution_points(classifier, test, _MODEL_KEY)
+    return explain.contribution_points(explain.contribution_rows(*_classifier(d)))
+
+
+def _top_contributions(d: DriverTables) -> DataFrame:
+    """The ranking that the dashboard reads, over the contributions of the trained classifier."""
+    rows = explain.contribution_rows(*_classifier(d))
+    return features.top_features(explain.contribution_importance(rows, training.CLASSIFIER_NAME))
 
 
 def _text_decisions(d: DriverTables) -> DataFrame:
@@ -304,18 +311,23 @@ def _split_rows(d: DriverTables) -> DataFrame:
 
 
 def _stream_hourly(d: DriverTables) -> DataFrame:
-    """Hourly delays from a file stream run to its end; hours still inside the watermark stay open."""
+    """Hourly delays from a file stream run to its end, every hour of it: each batch writes the complete result anew."""
     run = f"{ensure_checkpoint_dir(d.spark)}/stream-hourly-{uuid.uuid4().hex}"
     hourly = feeds.hourly_delay(d.observation_stream)
-    query = (
-        hourly.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{run}/state")
-        .trigger(availableNow=True)
-        .start(f"{run}/rows")
-    )
-    query.awaitTermination()
-    return _text_times(d.spark.read.schema(hourly.schema).parquet(f"{run}/rows"), "hour")
+    done: list[str] = []
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{run}/rows-{number}")
+        done.append(f"{run}/rows-{number}")
+
+    feeds.write_stream(hourly, f"{run}/state", keep, mode="complete").awaitTermination()
+    return _text_times(d.spark.read.schema(hourly.schema).parquet(done[-1]), "hour")
+
+
+def _faulty_copy(d: DriverTables) -> DataFrame:
+    """The decision table as a faulty publication: one hour is missing, and Sundays have blank service types."""
+    blank = F.when(F.col("weekday") == 6, F.lit(" ")).otherwise(F.col("service_type"))
+    return d.decisions.filter("trip_hour <> 3").withColumn("service_type", blank)
 
 
 QUERIES: dict[str, Query] = {
@@ -372,7 +384,7 @@ QUERIES: dict[str, Query] = {
     "route_stats_ranked": lambda d: routes.route_stats_ranked(d.decisions, min_records=30),
     "route_evidence": lambda d: routes.route_evidence(d.decisions, FOCUS_BUS_ROUTE),
     "route_risk_share": lambda d: routes.route_risk_action_share(d.decisions, FOCUS_BUS_ROUTE),
-    "search_routes": lambda d: filters.search_routes(routes.route_options(d.ai), "customer#00000001"),
+    "search_routes": lambda d: filters.search_routes(routes.top_routes(d.ai, limit=None), "5-"),
     # storage summaries
     "completeness_manifest": lambda d: _text_times(
         d.manifest, "first_collection_time_utc", "last_collection_time_utc"
@@ -448,7 +460,7 @@ QUERIES: dict[str, Query] = {
     "field_checks": lambda d: quality.field_checks(d.decisions),
     "null_profile": lambda d: quality.null_profile(d.decisions),
     "missing_or_blank": lambda d: quality.missing_or_blank(d.decisions),
-    "decision_validation": lambda d: quality.decision_validation(d.decisions, d.decisions),
+    "decision_validation": lambda d: quality.decision_validation(d.decisions, _faulty_copy(d)),
     "describe_delay": lambda d: quality.describe(d.decisions, "delay_seconds"),
     "duplicate_rows": lambda d: quality.duplicate_rows(
         d.decisions.select("collection_date", "trip_hour", "route_id", "trip_id", "delay_risk")
@@ -521,6 +533,7 @@ QUERIES: dict[str, Query] = {
     "gbt_regressor": _gbt_delays,
     "permutation_importance": _permutation,
     "contribution_points": _contribution_points,
+    "trained_top_features": _top_contributions,
 }
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delayloom import schemas
-from delayloom.operators import cleaning
+from delayloom.operators import cleaning, summaries
 
 RAW = "2026-05-11T08:00:00+00:00"
 
@@ -102,3 +102,13 @@ def test_prototype_features_and_leakage(spark):
     assert (row.time_hour, row.day_of_month, row.month) == (7, 11, 5)
     assert cleaning.select_model_columns(df).columns == ["date", "time"]
     assert cleaning.numeric(spark.createDataFrame([("x",), ("1",)], "value string"), ["value", "absent"]).dtypes == [("value", "double")]
+
+
+def test_averages_count_records_by_their_minutes(spark):
+    df = raw(spark, {"delay_minutes": "10.0", "delay_seconds": None}, {"delay_minutes": "2.0", "delay_seconds": "120"},
+             {"delay_minutes": "1.515", "delay_seconds": "90.9"})
+    cleaned = cleaning.clean_observations(df)
+    assert {r.delay_seconds for r in cleaned.collect()} == {None, 120.0, 90.9}
+    flags = {"collection_day_status": F.lit("x"), "is_model_baseline_day": F.lit(True), "is_partial_day": F.lit(False)}
+    day = summaries.daily_summary(cleaned.withColumns(flags)).first()
+    assert day.records == 3 and round(day.avg_delay_minutes, 9) == 4.505

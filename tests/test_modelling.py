@@ -136,11 +136,15 @@ def test_models_beat_the_baselines_and_explain_the_right_features(spark, labelle
     unseen = models.score_class(classifier, test.limit(1).withColumn("route_id", F.lit("never")))
     assert unseen.count() == 1
     named = models.model_importance(classifier, train, "GBT classifier").collect()
-    assert {"trip_hour", "route_id_onehot_r3"} <= {r.feature for r in named if r.importance > 0}
+    assert {"trip_hour", "route_id_r3"} <= {r.feature for r in named if r.importance > 0}
     ranked = [r.feature for r in explain.permutation_importance(classifier, test, ["id"], ["trip_hour", "route_id", "weekday"]).orderBy(F.desc("importance")).collect()]
     assert ranked[-1] == "weekday"
-    points = explain.contribution_points(classifier, test, ["id"], subset=["trip_hour", "weekday"], max_rows=20).collect()
-    assert len(points) == 40 and all(0 <= p.value_norm <= 1 for p in points)
+    rows = explain.contribution_rows(classifier, test, exclude=["rain"])
+    assert rows.count() == test.count() * (len(schemas.FEATURES) - 1) and rows.filter("feature = 'rain'").count() == 0
+    top = features.top_features(explain.contribution_importance(rows, "GBT classifier"), 2).collect()
+    assert len(top) == 2 and all(r.importance > 0 for r in top)
+    points = explain.contribution_points(rows, subset=["trip_hour", "weekday"]).collect()
+    assert len(points) == 2 * test.count() and all(0 <= p.value_norm <= 1 for p in points)
     assert all(p.shap_value == 0 for p in points if p.feature == "weekday")
 
 

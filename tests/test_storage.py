@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delayloom import schemas
-from delayloom.operators import scenario
+from delayloom.operators import scenario, summaries
 from delayloom.plans import decision_support, integration
 from delayloom.plans.storage_build import build_storage
 from delayloom.sources import readers, views, writers
@@ -101,10 +101,17 @@ def test_append_and_split_by_day(spark, tmp_path, landed):
     flat, target = readers.read_snapshots(spark, str(tmp_path / "s")), str(tmp_path / "daily_out")
     writers.append_daily(flat, target)
     writers.append_daily(flat, target)
-    again = readers.read_daily_logs(spark, target, "*.csv")
+    again = readers.read_daily_logs(spark, target)
     assert again.count() == 2 and again.first().collection_date == "2026-05-11"
     writers.split_log_by_day(spark, str(landed[0] / "gtfs_realtime_2026-05-11.csv"), str(tmp_path / "split"))
-    assert readers.read_daily_logs(spark, str(tmp_path / "split"), "*.csv").count() == 2
+    assert readers.read_daily_logs(spark, str(tmp_path / "split")).count() == 2
+    stats = readers.file_row_stats(spark, target)
+    assert [(r.collection_date, r.raw_csv_rows) for r in stats.collect()] == [("2026-05-11", 1)] * 2
+    manifest = summaries.completeness_manifest(again, stats).collect()
+    assert [(m.cleaned_rows, m.raw_csv_rows, m.duplicate_header_rows) for m in manifest] == [(2, 2, 0)]
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        readers.read_daily_logs(spark, str(tmp_path / "empty"))
 
 
 def test_csv_parquet_and_projection(spark, tmp_path, facts):
@@ -114,7 +121,7 @@ def test_csv_parquet_and_projection(spark, tmp_path, facts):
     assert writers.write_csv(wide, csv, single_file=True) == 2
     assert writers.csv_to_parquet(spark, csv, parquet) == 2
     typed = dict(spark.read.parquet(parquet).dtypes)
-    assert (typed["is_special_route"], typed["delay_seconds"], typed["rain"]) == ("boolean", "bigint", "double")
+    assert (typed["is_special_route"], typed["delay_seconds"], typed["rain"]) == ("boolean", "double", "double")
     assert readers.read_csv_projected(spark, csv, ["route_id"], ["rain", "absent"]).columns == ["route_id", "rain"]
     with pytest.raises(ValueError, match="absent"):
         readers.read_parquet_projected(spark, parquet, ["absent"])
