@@ -10,6 +10,9 @@ from delayloom.operators.cleaning import clean_observations, normalize_decision_
 from delayloom.operators.filters import baseline_only
 from delayloom.functions.parsing import date_text
 
+# Spark's own CSV format stops at milliseconds; observation times have microseconds.
+CSV_OPTIONS = {"header": True, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def by_day(df: DataFrame) -> DataFrame:
     """Group rows by day before a partitioned write, letting AQE split large days and merge small ones."""
@@ -43,7 +46,7 @@ def read_daily_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
 def append_daily(df: DataFrame, path: str) -> None:
     """Append flattened snapshot rows to the CSV folder of their UTC day, each file with its header."""
     dated = df.withColumn("collection_date", date_text(F.col("collection_time_utc")))
-    by_day(dated).write.mode("append").option("header", True).partitionBy("collection_date").csv(path)
+    by_day(dated).write.mode("append").options(**CSV_OPTIONS).partitionBy("collection_date").csv(path)
 
 
 def split_log_by_day(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> None:
@@ -51,7 +54,7 @@ def split_log_by_day(spark: SparkSession, source: str, target: str, overwrite: b
     log = spark.read.schema(schemas.RAW_OBSERVATION).option("header", True).option("enforceSchema", False)
     rows = clean_observations(log.csv(source)).select(*schemas.RAW_COLUMNS, "collection_date")
     writer = by_day(rows).write.mode("overwrite" if overwrite else "append")
-    writer.option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("collection_date").csv(target)
+    writer.option("partitionOverwriteMode", "dynamic").options(**CSV_OPTIONS).partitionBy("collection_date").csv(target)
 
 
 def write_baseline_tables(obs: DataFrame, all_path: str, baseline_path: str) -> None:
@@ -76,7 +79,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
     ``single_file`` is for small summaries only: it sends the result through
     one task.
     """
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return df.sparkSession.read.option("header", True).csv(path).count()
 
 

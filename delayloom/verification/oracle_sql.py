@@ -444,6 +444,8 @@ def _hourly(frm: str) -> str:
 
 _FULL_TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 _HOUR_TEXT = _FULL_TIME.format("hour") + " AS hour"
+_RECORD = f"""{_FULL_TIME.format('collection_time_utc')} AS collection_time_utc, entity_id, trip_id, route_id, direction_id,
+    start_time, start_date, feed_time AS "timestamp", delay_seconds, is_deleted, {_r('delay_minutes', 6)} AS delay_minutes, collection_date"""
 
 
 def _strata(wanted: str, strata: str) -> str:
@@ -861,6 +863,37 @@ _BODIES = {
     "stream_hourly": f"""SELECT {_HOUR_TEXT}, route_id, COUNT(*) AS records, {_r(_mean(_SECONDS), 6)} AS avg_delay_minutes,
         CAST(MAX({_SECONDS}) AS DOUBLE) AS max_delay_seconds FROM (SELECT *, date_trunc('hour', collection_time_utc) AS hour FROM obs)
         GROUP BY hour, route_id""",
+    "append_daily": f"SELECT {_RECORD} FROM obs",
+    "daily_logs": f"SELECT {_RECORD} FROM obs WHERE event_id % 251 <> 0",
+    "split_log": f"SELECT {_RECORD} FROM obs WHERE event_id % 251 <> 0",
+    "file_row_stats": """SELECT collection_date, COUNT(*) AS raw_csv_rows,
+        COUNT(*) FILTER (WHERE event_id % 251 = 0) AS duplicate_header_rows FROM obs GROUP BY 1""",
+    "manifest_of_files": """SELECT collection_date, collection_day_status, is_model_baseline_day, o.raw_csv_rows, o.cleaned_rows,
+        o.duplicate_header_rows, o.unique_routes, o.unique_trips, o.delay_outliers_abs_gt_120
+        FROM manifest JOIN (
+            SELECT collection_date, COUNT(*) AS raw_csv_rows, COUNT(*) FILTER (WHERE event_id % 251 <> 0) AS cleaned_rows,
+                COUNT(*) FILTER (WHERE event_id % 251 = 0) AS duplicate_header_rows,
+                COUNT(DISTINCT route_id) FILTER (WHERE event_id % 251 <> 0) AS unique_routes,
+                COUNT(DISTINCT trip_id) FILTER (WHERE event_id % 251 <> 0) AS unique_trips,
+                COUNT(*) FILTER (WHERE event_id % 251 <> 0 AND abs(delay_minutes) > 120) AS delay_outliers_abs_gt_120
+            FROM obs GROUP BY 1) o USING (collection_date)""",
+    "baseline_tables": f"""SELECT stored, collection_date, entity_id, route_id, service_type, {_r('delay_minutes', 6)} AS delay_minutes
+        FROM storage, (VALUES ('all_file'), ('model_baseline')) AS names(stored)
+        WHERE stored = 'all_file' OR is_model_baseline_day""",
+    "csv_to_parquet": f"""SELECT {_FULL_TIME.format('collection_time_utc')} AS collection_time_utc, route_id, trip_id, delay_risk,
+        CAST(trip_hour AS BIGINT) AS trip_hour, rain, is_partial_day, wind_speed_10m FROM decisions""",
+    "csv_projected": "SELECT route_id, delay_risk, service_type FROM decisions",
+    "chosen_source": """SELECT collection_date, COUNT(*) AS records, 'model_baseline' AS chosen
+        FROM storage WHERE is_model_baseline_day GROUP BY 1""",
+    "attach_checked": """SELECT entity_id, collection_date, collection_day_status, collection_coverage_hours, raw_csv_rows
+        FROM obs JOIN manifest USING (collection_date)""",
+    "stream_append": f"SELECT {_RECORD} FROM obs",
+    "stream_dedupe": f"SELECT {_RECORD} FROM obs",
+    "stream_labels": f"""SELECT entity_id, collection_date, risk AS delay_risk, {_ACTION.format('risk')} AS recommended_action,
+        CAST(hour(collection_time_utc) AS INTEGER) AS trip_hour, rain
+        FROM (SELECT *, CASE WHEN abs(delay_minutes) <= 5 THEN 'Low' WHEN abs(delay_minutes) <= 15 THEN 'Medium'
+                             WHEN abs(delay_minutes) <= 25 THEN 'High' ELSE 'Severe' END AS risk FROM obs)
+        LEFT JOIN weather ON weather_hour = date_trunc('hour', collection_time_utc)""",
     "intervention_priority": f"""SELECT route_id, COUNT(trip_id) AS total_cases, {_r('AVG(actual_arrival_delay_min)', 6)} AS avg_delay_min,
         MAX(actual_arrival_delay_min) AS max_delay_min, {_r('AVG(traffic_congestion_index)', 6)} AS avg_congestion FROM cases GROUP BY 1""",
     "scenario_stats": f"""SELECT {_r('AVG(actual_arrival_delay_min)', 6)} AS mean_actual_arrival_delay_min,

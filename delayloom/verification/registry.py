@@ -33,6 +33,7 @@ from delayloom.plans import training
 from delayloom.session import ensure_checkpoint_dir
 from delayloom.sources import readers, writers
 from delayloom.streaming import feeds
+from delayloom.verification.files import FILE_QUERIES
 from delayloom.verification.fixtures import FOCUS_BUS_ROUTE, FOCUS_ROUTE, SALTS, DriverTables, driver_tables
 
 Query = Callable[[DriverTables], DataFrame]
@@ -528,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "scenario_results": lambda d: scenario.scenario_results(_comparison(d)),
     # streaming
     "stream_hourly": _stream_hourly,
+    # files
+    **FILE_QUERIES,
     # rows-only: trained models
     "gbt_classifier": _gbt_metrics,
     "gbt_regressor": _gbt_delays,
