@@ -103,6 +103,9 @@ def test_append_and_split_by_day(spark, tmp_path, landed):
     writers.append_daily(flat, target)
     again = readers.read_daily_logs(spark, target)
     assert again.count() == 2 and again.first().collection_date == "2026-05-11"
+    precise = flat.withColumn("collection_time_utc", F.lit("2026-05-11 08:00:00.123456").cast("timestamp"))
+    writers.append_daily(precise, str(tmp_path / "precise"))
+    assert readers.read_daily_logs(spark, str(tmp_path / "precise")).first().collection_time_utc.microsecond == 123456
     writers.split_log_by_day(spark, str(landed[0] / "gtfs_realtime_2026-05-11.csv"), str(tmp_path / "split"))
     assert readers.read_daily_logs(spark, str(tmp_path / "split")).count() == 2
     stats = readers.file_row_stats(spark, target)
