@@ -133,6 +133,13 @@ def csv_projected(d: DriverTables) -> DataFrame:
     return readers.read_csv_projected(d.spark, text, ["route_id", "delay_risk"], ["service_type", "not_there"])
 
 
+def read_dimension(d: DriverTables) -> DataFrame:
+    """The route table written as a schedule file, read as text by its contract and typed as route metadata."""
+    folder = new_folder(d, "schedule")
+    d.routes.write.option("header", True).csv(f"{folder}/routes.txt")
+    return enrich.route_metadata(readers.read_dimension(d.spark, folder, "routes"))
+
+
 def chosen_source(d: DriverTables) -> DataFrame:
     """Rows per day of the source that ``auto`` takes when both stored tables and the logs are there."""
     everything, baseline = new_folder(d, "all-file"), new_folder(d, "baseline")
@@ -190,6 +197,7 @@ FILE_QUERIES = {
     "baseline_tables": baseline_tables,
     "csv_to_parquet": csv_to_parquet,
     "csv_projected": csv_projected,
+    "read_dimension": read_dimension,
     "chosen_source": chosen_source,
     "attach_checked": attach_checked,
     "stream_append": stream_append,

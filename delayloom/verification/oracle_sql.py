@@ -883,6 +883,8 @@ _BODIES = {
     "csv_to_parquet": f"""SELECT {_FULL_TIME.format('collection_time_utc')} AS collection_time_utc, route_id, trip_id, delay_risk,
         CAST(trip_hour AS BIGINT) AS trip_hour, rain, is_partial_day, wind_speed_10m FROM decisions""",
     "csv_projected": "SELECT route_id, delay_risk, service_type FROM decisions",
+    "read_dimension": """SELECT route_id, agency_id, route_short_name, route_long_name, CAST(route_type AS INTEGER) AS route_type,
+        service_type, route_display_name FROM metadata""",
     "chosen_source": """SELECT collection_date, COUNT(*) AS records, 'model_baseline' AS chosen
         FROM storage WHERE is_model_baseline_day GROUP BY 1""",
     "attach_checked": """SELECT entity_id, collection_date, collection_day_status, collection_coverage_hours, raw_csv_rows
