@@ -7,6 +7,11 @@ share a node of one tree with probability s ** depth, and ``TREES`` independent
 miss a pair at 0.85 to about 3e-7 in small nodes and 1e-4 in deep ones (less where a group has more than one
 link).  Every link is confirmed on the full sets.
 
+A deep node in which more than ``BLOCK`` documents are outside its largest class (texts that share boilerplate
+but are not linked) is a crowd.  Its documents branch again in new trees, to the depths of ``CROWD_DEPTHS`` in
+turn, as many trees as keep the chance to miss a link at ``MISS``.  What is still a crowd at the last depth is
+compared as pairs of blocks: a task holds two blocks at most, and no pair is compared twice in a node.
+
 Texts with equal sets are folded into their least doc_id first, so exact copies never meet in a node.
 
 Null, empty and blank texts have an empty set, are linked with nothing and keep themselves.  Repeated rows
@@ -16,11 +21,12 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
@@ -34,8 +40,13 @@ TREES = 16
 FIRST_TREES = 4
 SHALLOW, DEEP = 3, 5
 SMALL_NODE = 64
-#: Documents of one node that are compared in one task at once.
+#: Instead of a side: all pairs of a task are compared.
+ALL_PAIRS = 2
+#: Documents of one node that are compared in one task at once (two blocks where a node is larger).
 BLOCK = 2000
+#: Choices in the trees for the documents of crowds, and the chance to miss a link that their number allows.
+CROWD_DEPTHS = (8, 12, 16)
+MISS = 1e-4
 
 _WORD_STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -71,24 +82,25 @@ def shingle_sets(
     return (np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)), sizes
 
 
-def _paths(sets: np.ndarray, sizes: np.ndarray, trees: int) -> np.ndarray:
-    """Node after SHALLOW and after DEEP choices in every tree, for each non-empty set: (trees, 2, sets)."""
+def _paths(
+    sets: np.ndarray, sizes: np.ndarray, trees: int, depths: tuple[int, ...] = (SHALLOW, DEEP), first: int = 1
+) -> np.ndarray:
+    """Node after each number of choices in every tree, for each non-empty set: (trees, depths, sets)."""
     starts = tb.run_starts(sizes)
-    out = np.zeros((trees, 2, len(sizes)), dtype=np.uint64)
+    out = np.zeros((trees, len(depths), len(sizes)), dtype=np.uint64)
     if not len(sizes):
         return out
     for tree in range(trees):
-        node = np.full(len(sizes), tb.mix(np.array([tree + 1], dtype=np.uint64))[0])
-        for depth in range(1, DEEP + 1):
+        node = np.full(len(sizes), tb.mix(np.array([tree + first], dtype=np.uint64))[0])
+        for depth in range(1, depths[-1] + 1):
             ranks = sets ^ np.repeat(node, sizes)
             ranks *= tb._MIX_A
             ranks ^= ranks >> np.uint64(32)
             ranks *= tb._MIX_B
             chosen = np.minimum.reduceat(ranks, starts)
             node = tb.mix(node * _WORD_STEP + chosen + np.uint64(depth))
-            if depth == SHALLOW:
-                out[tree, 0] = node
-        out[tree, 1] = node
+            if depth in depths:
+                out[tree, depths.index(depth)] = node
     return out
 
 
@@ -134,27 +146,59 @@ def _full_sets(size: int):
     return run
 
 
-def linked_in_node(docs: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def _crowd_paths(trees: int, depth: int):
+    """Nodes of sets after ``depth`` choices, in trees that no other depth uses."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = batch.column("tokens").to_pylist()
+            offsets = np.concatenate([[0], np.cumsum([len(b) for b in blobs])]).astype(np.int64)
+            for low, high in tb.steps(offsets):
+                sets = np.frombuffer(b"".join(blobs[low:high]), dtype=np.uint64)
+                found = _paths(sets, np.diff(offsets[low : high + 1]) // 8, trees, (depth,), depth << 20)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.arange(trees, dtype=np.int32), high - low)),
+                     pa.array(found[:, 0].T.ravel().view(np.int64)),
+                     batch.column("doc").slice(low, high - low).take(pa.array(np.repeat(np.arange(high - low), trees)))],
+                    names=["tree", "node", "doc"])
+
+    return run
+
+
+def linked_in_node(
+    docs: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Links that join the classes of one node's documents: all pairs of different classes are decided.
 
     A document is held against all others at once (a mark on its tokens, then a sum over each set).  Pairs
-    already in one class need no comparison, so a node of near copies ends after a few rounds.
+    already in one class need no comparison, so a node of near copies ends after a few rounds.  With ``sides``
+    (0 or 1), only pairs of documents on different sides are decided.
     """
+    if sides is not None:
+        order = np.argsort(sides, kind="stable")
+        cut = int((sides == 0).sum())
+        if not 0 < cut < len(sides):
+            return []
+        if 2 * cut > len(sides):  # the smaller side is marked, the larger one summed
+            order, cut = np.roll(order, -cut), len(sides) - cut
+        docs, classes, sets = docs[order], classes[order], [sets[k] for k in order.tolist()]
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     tokens, local = np.unique(np.concatenate(sets), return_inverse=True)
     starts = tb.run_starts(sizes)
     _, group = np.unique(classes, return_inverse=True)
     links: list[tuple[int, int]] = []
     mark = np.zeros(len(tokens), dtype=np.int32)
-    for i in np.argsort(-sizes, kind="stable").tolist():
-        other = group != group[i]
+    far = 0 if sides is None else cut
+    held, held_starts, held_sizes = local[starts[far] :], starts[far:] - starts[far], sizes[far:]
+    for i in np.argsort(-sizes[: cut if far else None], kind="stable").tolist():
+        other = group[far:] != group[i]
         if not other.any():
             continue
         own = local[starts[i] : starts[i] + sizes[i]]
         mark[own] = 1
-        shared = np.add.reduceat(mark[local], starts)
+        shared = np.add.reduceat(mark[held], held_starts)
         mark[own] = 0
-        for j in np.flatnonzero(other & (100 * shared >= percent * (sizes + sizes[i] - shared))).tolist():
+        for j in (np.flatnonzero(other & (100 * shared >= percent * (held_sizes + sizes[i] - shared))) + far).tolist():
             if group[j] != group[i]:
                 links.append((int(docs[i]), int(docs[j])))
                 group[group == group[j]] = group[i]
@@ -167,7 +211,9 @@ def _node_links(percent: int):
         if len(docs) < 2:
             return
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("tokens").to_pylist()]
-        links = linked_in_node(docs, table.column("class").to_numpy(), sets, percent)
+        side = table.column("side").to_numpy()
+        sides = None if side[0] == ALL_PAIRS else side
+        links = linked_in_node(docs, table.column("class").to_numpy(), sets, percent, sides)
         if links:
             a, b = zip(*links)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -187,12 +233,34 @@ def _nodes(signatures: DataFrame, trees: int) -> DataFrame:
     return shared.select("tree", F.when(F.col("n") <= SMALL_NODE, F.col("shallow")).otherwise(F.col("deep")).alias("node"), "doc")
 
 
-def _links(nodes: DataFrame, classes: DataFrame | None, sets: DataFrame, percent: int, set_bytes: float) -> DataFrame:
-    """Confirmed links between documents of different classes that share a node.
+def _tasks(n: Column, others: Column) -> Column:
+    """(part, side) of a document for each task that takes it: every pair that is not inside the largest class once.
+
+    The largest class and the others are dealt over blocks of their own.  A block of others meets itself, each
+    other one and each block of the largest class.
+    """
+    many = lambda count: F.greatest(F.ceil(count / BLOCK), F.lit(1)).cast("int")
+    large, small = many(n - others), many(others)
+    own = lambda blocks: F.pmod(F.xxhash64("doc", "tree"), blocks).cast("int")
+    task = lambda kind, a, b, side: F.struct(F.xxhash64(F.lit(kind), a, b).alias("part"), side.alias("side"))
+    up_to = lambda blocks: F.sequence(F.lit(0), blocks - 1)
+    in_largest = F.transform(up_to(small), lambda j: task(1, own(large), j, F.lit(0)))
+    against = F.transform(up_to(large), lambda i: task(1, i, own(small), F.lit(1)))
+    among = F.transform(up_to(small), lambda j: task(
+        2, F.least(own(small), j), F.greatest(own(small), j),
+        F.when(j == own(small), ALL_PAIRS).when(j > own(small), 0).otherwise(1)))
+    whole = F.array(task(0, F.lit(0), F.lit(0), F.lit(ALL_PAIRS)))
+    return F.when(n <= BLOCK, whole).when(F.col("class") == F.col("largest"), in_largest).otherwise(F.concat(against, among))
+
+
+def _links(
+    nodes: DataFrame, classes: DataFrame | None, sets: DataFrame, percent: int, set_bytes: float, last: bool = True
+) -> tuple[DataFrame, DataFrame | None]:
+    """Confirmed links between documents of different classes that share a node; documents of crowds left for more depth.
 
     A node of more than BLOCK documents is dealt over blocks.  Without classes each document goes to one block,
-    another in every tree.  With classes, the documents of the node's largest class go to one block each and the
-    others to all blocks, so every pair of different classes still meets.
+    another in every tree.  With classes, every pair of different classes meets in one task of the node, unless the
+    node is a crowd and this is not the ``last`` depth.
     """
     if classes is None:
         members = nodes.withColumn("class", F.col("doc"))
@@ -204,25 +272,37 @@ def _links(nodes: DataFrame, classes: DataFrame | None, sets: DataFrame, percent
         F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("mark"))
     kinds = shares.groupBy("node").agg(
         F.sum("n").alias("n"), F.sum("mark").alias("mark"), F.count("*").alias("classes"),
-        F.max_by("class", F.struct("n", "class")).alias("largest"),
+        F.max_by("class", F.struct("n", "class")).alias("largest"), (F.sum("n") - F.max("n")).alias("others"),
     ).filter("classes > 1")
-    one = kinds.groupBy("n", "mark").agg(F.min(F.struct("node", "largest")).alias("k")).select("n", "k.*")
-    chosen = members.join(one, "node")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc", "tree"), blocks).cast("int")
+    one = kinds.groupBy("n", "mark").agg(F.min(F.struct("node", "largest", "others")).alias("k")).select("n", "k.*")
+    chosen, crowd = members.join(one, "node"), None
     if classes is None:
-        placed = chosen.withColumn("block", own)
+        block = F.pmod(F.xxhash64("doc", "tree"), F.ceil(F.col("n") / BLOCK))
+        placed = chosen.withColumn("at", F.struct(block.alias("part"), F.lit(ALL_PAIRS).alias("side")))
     else:
-        everywhere = (F.col("class") != F.col("largest")) & (blocks > 1)
-        placed = chosen.withColumn("block", F.explode(
-            F.when(everywhere, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
-    placed = stored(placed.select(F.xxhash64("node", "block").alias("node"), "doc", "class"), "nodes")
+        if not last:
+            chosen = stored(chosen, "members")
+            crowd = stored(chosen.filter(F.col("others") > BLOCK).select("doc").distinct(), "crowd")
+            chosen = chosen.filter(F.col("others") <= BLOCK)
+        placed = chosen.withColumn("at", F.explode(_tasks(F.col("n"), F.col("others"))))
+    placed = stored(placed.select(F.xxhash64("node", "at.part").alias("node"), "doc", "class", "at.side"), "nodes")
     parts = parts_for(placed.count() * set_bytes, 16e6, sets.sparkSession.sparkContext.defaultParallelism)
     return stored(
         placed.join(sets.hint("merge"), "doc").repartition(parts, "node").sortWithinPartitions("node", "doc")
         .mapInArrow(_node_links(percent), "a long, b long"),
         "confirmed",
-    )
+    ), crowd
+
+
+def crowd_trees(depth: int, percent: int) -> int:
+    """Trees of a depth that miss a pair at the least similarity with a chance of MISS at most."""
+    return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** depth)))
+
+
+def _crowd_nodes(crowd: DataFrame, sets: DataFrame, depth: int, percent: int) -> DataFrame:
+    own = sets.join(crowd.hint("merge"), "doc", "left_semi")
+    found = stored(own.mapInArrow(_crowd_paths(crowd_trees(depth, percent), depth), "tree int, node long, doc long"), "crowd-nodes")
+    return found.join(found.groupBy("node").count().filter("count > 1").select("node"), "node").select("tree", "node", "doc")
 
 
 def near_duplicates(
@@ -248,10 +328,16 @@ def _near_duplicates(docs: DataFrame, shingle_words: int, min_percent: int, tree
     wanted = nodes.select(F.col("doc").alias("doc_id")).distinct().hint("merge")
     sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(shingle_words), "doc long, tokens binary")
     sets = stored(sets, "sets").dropDuplicates(["doc"])  # repeated rows of one doc_id
-    some = _links(nodes.filter(F.col("tree") < FIRST_TREES), None, sets, min_percent, wide)
-    classes = components(some)
-    more = _links(nodes, classes, sets, min_percent, wide)
-    classes = components(some.union(more))
+    links, _ = _links(nodes.filter(F.col("tree") < FIRST_TREES), None, sets, min_percent, wide)
+    classes = components(links)
+    for depth in (DEEP, *CROWD_DEPTHS):
+        if depth != DEEP:
+            nodes = _crowd_nodes(crowd, sets, depth, min_percent)
+        more, crowd = _links(nodes, classes, sets, min_percent, wide, depth == CROWD_DEPTHS[-1])
+        links = links.union(more)
+        classes = components(links)
+        if crowd is None or crowd.isEmpty():
+            break
     folded = same.join(classes.select(F.col("node").alias("first"), "component"), "first", "left").select(
         "n_shingles", "sum_a", "sum_b", F.coalesce("component", "first").alias("component"))
     joined = signatures.drop("nodes").join(folded, ["n_shingles", "sum_a", "sum_b"], "left")

@@ -86,6 +86,49 @@ def test_near_duplicates_in_blocks_match_all_pairs(spark, monkeypatch):
     assert {r.doc_id: r.n_shingles for r in got} == sizes
 
 
+def boilerplate(count, copies, seed=11):
+    """Texts that share half of their words but are not linked, then near copies of the first ones."""
+    random.seed(seed)
+    shared = [f"w{random.randrange(9999)}" for _ in range(100)]
+    texts = [shared + [f"u{n}x{k}" for k in range(40)] for n in range(count)]
+    texts += [[*t[:-1], "changed"] for t in texts[:copies]]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_near_duplicates_in_crowds(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BLOCK", 20)
+    monkeypatch.setattr(chosen_path, "SMALL_NODE", 10)
+    placed, linked = [], chosen_path.stored
+
+    def watched(df, name, *more):
+        out = linked(df, name, *more)
+        if name == "nodes":
+            placed.append(out)
+        return out
+
+    monkeypatch.setattr(chosen_path, "stored", watched)
+    rows = boilerplate(300, 40)
+    got = {r.doc_id: r.component_id for r in chosen_path.near_duplicates(documents(spark, rows)).collect()}
+    assert got == linked_classes(rows)[0]
+    assert len(placed) > 2  # the crowd went to further depths
+    for nodes in placed:
+        assert nodes.groupBy("node").count().agg(F.max("count")).first()[0] <= 3 * 20  # two blocks, dealt by a hash
+
+
+def test_pairs_of_blocks_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BLOCK", 8)
+    rows = [(d, 0 if d < 30 else d) for d in range(70)]
+    frame = spark.createDataFrame(rows, "doc long, class long").withColumns({"tree": F.lit(0), "largest": F.lit(0).cast("long")})
+    tasks = {}
+    for r in frame.withColumn("at", F.explode(chosen_path._tasks(F.lit(70), F.lit(40)))).select("doc", "class", "at.*").collect():
+        tasks.setdefault(r.part, []).append(r)
+    met = [
+        tuple(sorted((a.doc, b.doc))) for own in tasks.values() for k, a in enumerate(own) for b in own[:k]
+        if a.side == chosen_path.ALL_PAIRS or a.side != b.side
+    ]
+    assert sorted(met) == sorted((a, b) for a, p in rows for b, q in rows if a < b and p != q)
+
+
 def test_near_duplicates_edges(spark):
     got = chosen_path.near_duplicates(documents(spark, edge_rows())).collect()
     assert {(r.doc_id, r.component_id, r.kept) for r in got} >= {(4, 4, True), (5, 4, False), (None, 4, False), (1, 1, True)}
