@@ -6,14 +6,17 @@ being ``EDIT_PERCENT`` of its length.  By the q-gram lemma such a stretch shares
 ``n - q + 1 - q * e`` q-grams with the probe, all in a band of e diagonals on either side.  So q-gram hits are counted in
 overlapping diagonal bands; only bands that reach the bound are verified, by banded alignment.
 
+An item under ``MIN_PROBE_CHARS`` is one probe without edits: it is found where it stands whole, between word
+boundaries.  Its first ``GRAM`` bytes, or all if it is shorter, are looked up.
+
 Both sides are compared with A-Z and the accented capitals of Western Europe in lower case and every run of
 blanks as one space.
 
 The benchmark is read in blocks of bounded size, each sent to all tasks; documents are streamed and never
 shuffled, so no source, passage or item makes a hot task.
 
-Null and empty texts contain nothing; null or short items (under ``MIN_PROBE_CHARS``) are never found.
-Repeated documents are each reported; repeated items are each reported.  Empty tables give no rows.  Extra
+Null and empty texts contain nothing; items without text are never found.  Items with a null item_id are reported
+with a null.  Repeated documents are each reported; repeated items are each reported.  Empty tables give no rows.  Extra
 columns are ignored (kept by ``drop_contaminated``).
 """
 
@@ -59,16 +62,20 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 class Probes:
     """The probes of a block of benchmark items and an index of their q-grams."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str, int]]):
+        """Items with the number of their rows; ``item`` is the place in the list, as ids can be null."""
         self.item, self.text = [], []
-        for item_id, text in items:
+        short: dict[int, list[tuple[int, bytes]]] = {}
+        for number, (_, text, _) in enumerate(items):
             raw = np.frombuffer((text or "").encode(), dtype=np.uint8)
             body = normalised(raw, np.array([0, len(raw)]))[0].tobytes().strip()
             if len(body) < MIN_PROBE_CHARS:
+                if body:
+                    short.setdefault(min(len(body), GRAM), []).append((number, body))
                 continue
             last = max(0, len(body) - PROBE_CHARS)
             for start in [*range(0, last, PROBE_CHARS // 2), last]:
-                self.item.append(item_id)
+                self.item.append(number)
                 self.text.append(body[start : start + PROBE_CHARS])
         lengths = np.array([len(t) for t in self.text], dtype=np.int64)
         self.edits = lengths * EDIT_PERCENT // 100
@@ -85,6 +92,18 @@ class Probes:
         self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
         self.filter[self.grams >> np.uint64(64 - _FILTER_BITS)] = True
 
+        #: By size of the gram: sorted hashes of the short items' first grams, then their lengths, hashes and numbers.
+        self.short = {}
+        for size, own in short.items():
+            joined = np.frombuffer(b"".join(body for _, body in own), dtype=np.uint8)
+            ends = np.cumsum([len(body) for _, body in own])
+            starts = ends - np.array([len(body) for _, body in own])
+            sums = tb.prefix_sums(joined, tb.BYTE_VALUES)
+            first = tb.stretch_hashes(sums, starts, starts + size)
+            order = np.argsort(first, kind="stable")
+            self.short[size] = (first[order], (ends - starts)[order], tb.stretch_hashes(sums, starts, ends)[order],
+                                np.array([number for number, _ in own])[order])
+
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position, probe, place in the probe) of every q-gram shared with a probe."""
         maybe = np.flatnonzero(self.filter[grams >> np.uint64(64 - _FILTER_BITS)])
@@ -171,7 +190,38 @@ def _matches(data: np.ndarray, offsets: np.ndarray, probes: Probes) -> Iterator[
         yield doc, key, edits, int(origin[start]) - base, int(origin[end - 1]) + 1 - base
 
 
-def _scan(items: list[tuple[int, str]]):
+def _short_matches(data: np.ndarray, offsets: np.ndarray, probes: Probes) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item, start, end) of the first whole stand of each short item in a text, places in the original."""
+    if not probes.short or not len(data):
+        return
+    text, edges, origin = normalised(data, offsets)
+    sums = tb.prefix_sums(text, tb.BYTE_VALUES)
+    wordlike = np.zeros(len(text) + 2, dtype=bool)  # shifted by one: nothing before the first and after the last
+    wordlike[1:-1] = ((text >= 48) & (text <= 57)) | ((text >= 97) & (text <= 122)) | (text >= 128)
+    for size, (first, lengths, wholes, numbers) in probes.short.items():
+        grams = tb.gram_hashes(sums, size)
+        low = np.searchsorted(first, grams)
+        counts = np.searchsorted(first, grams, side="right") - low
+        probe = tb.expand(low, counts)
+        at = np.repeat(np.arange(len(grams)), counts)
+        row = np.searchsorted(edges, at, side="right") - 1
+        end = at + lengths[probe]
+        inside = end <= edges[row + 1]
+        at, probe, row, end = at[inside], probe[inside], row[inside], end[inside]
+        opens = (at == edges[row]) | ~(wordlike[at] & wordlike[at + 1])
+        closes = (end == edges[row + 1]) | ~(wordlike[end] & wordlike[end + 1])
+        same = opens & closes & (tb.stretch_hashes(sums, at, end) == wholes[probe])
+        at, probe, row, end = at[same], probe[same], row[same], end[same]
+        order = np.lexsort((at, probe, row))
+        at, probe, row, end = at[order], probe[order], row[order], end[order]
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (probe[1:] != probe[:-1]) | (row[1:] != row[:-1])
+        for k in np.flatnonzero(new).tolist():
+            base = int(offsets[row[k]])
+            yield int(row[k]), int(numbers[probe[k]]), int(origin[at[k]]) - base, int(origin[end[k] - 1]) + 1 - base
+
+
+def _scan(items: list[tuple[int | None, str, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes = Probes(items)
         number = {}
@@ -186,9 +236,14 @@ def _scan(items: list[tuple[int, str]]):
                     data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], probes
                 ):
                     own.setdefault((low + doc, probes.item[key]), []).append((edits, start, end))
+                for doc, item, start, end in _short_matches(
+                    data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], probes
+                ):
+                    own[low + doc, item] = [(0, start, end)]
                 for (doc, item), found in own.items():
-                    rows.append((doc, item, number[item], len(found), min(f[0] for f in found),
-                                 min(f[1] for f in found), max(f[2] for f in found)))
+                    item_id, _, times = items[item]
+                    rows.extend([(doc, item_id, number.get(item, 1), len(found), min(f[0] for f in found),
+                                  min(f[1] for f in found), max(f[2] for f in found))] * times)
             if rows:
                 doc, *columns = zip(*rows)
                 kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
@@ -200,13 +255,13 @@ def _scan(items: list[tuple[int, str]]):
     return run
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of about BLOCK_BYTES, by a hash of the item; an item is in one block."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null")
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str, int]]]:
+    """Items with the number of their rows, in blocks of about BLOCK_BYTES, by a hash of the item; an item is in one block."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").groupBy("item_id", "text").count()
     parts = parts_for(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0, BLOCK_BYTES)
     for part in range(parts):
-        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).distinct()
-        yield [(r.item_id, r.text) for r in block.orderBy("item_id", "text").collect()]
+        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
+        yield [(r[0], r[1], r[2]) for r in block.orderBy("item_id", "text").collect()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
