@@ -6,9 +6,10 @@ abstains.  A generative label model estimates the voters' accuracies by expectat
 vote patterns and the correlations between voters, so that voters who repeat each other weigh less.  Its
 posterior labels train a linear classifier on measures of the same evidence, which scores whole texts.
 
-Lexicon counts and the classifier are fitted on a bounded sample of labelled rows that are not held out
-(``FIT_ROWS``, chosen by a hash of doc_id).  The sample is halved: a text's evidence in training comes from
-counts over the other half, so a word that one document alone has does not vouch for itself.
+Lexicon counts and the label model cover all labelled rows that are not held out; only the classifier is
+trained on a bounded sample of them (``FIT_ROWS``, chosen by a hash of doc_id).  The rows are halved: a text's
+evidence in training comes from counts over the other half, so a word that one document alone has does not
+vouch for itself.
 
 Null and empty texts have no evidence and get the score of a clean empty text.  Repeated rows get equal scores.
 A null doc_id is scored and never held out.  Several labels of one doc_id count as toxic if any is.  Extra
@@ -17,7 +18,6 @@ columns are ignored.  An empty table gives no rows; without labelled rows every
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -246,21 +246,24 @@ def _share(toxic: np.ndarray, every: np.ndarray, prior: float) -> np.ndarray:
 
 
 def _training_rows(lexicons: tuple[Lexicon, Lexicon]):
-    """Measures of each training text under the lexicon of the other half."""
+    """Votes on each training text under the lexicon of the other half, and its measures if it is drawn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         insults = _insult_forms()
         for batch in batches:
             data, offsets = tb.text_bytes(batch.column("text"))
             half = batch.column("half").to_numpy(zero_copy_only=False)
+            drawn = batch.column("drawn").to_pylist()
             for low, high in tb.steps(offsets):
                 x = np.zeros((high - low, N_MEASURES))
                 for part in (0, 1):
                     own = measures(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], lexicons[1 - part], insults)
                     x[half[low:high] == part] = own[half[low:high] == part]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r.tobytes() for r in x], pa.binary()), batch.column("toxic").slice(low, high - low)],
-                    names=["x", "toxic"])
+                    [pa.array([v.tobytes() for v in voter_votes(x)], pa.binary()),
+                     pa.array([r.tobytes() if d else None for r, d in zip(x, drawn[low:high])], pa.binary()),
+                     batch.column("toxic").slice(low, high - low)],
+                    names=["votes", "x", "toxic"])
 
     return run
 
@@ -274,18 +277,19 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model |
     if not size:
         return None
     draw = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.filter(draw < min(1.0, fit_rows / size)).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)).cast("int"))
-    sample = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        F.broadcast(chosen), "doc_id").select("text", "toxic", "half"), "labelled")  # about fit_rows rows of 16 bytes
-    totals = {r["half"]: (r["n"], r["t"]) for r in sample.groupBy("half").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).collect()}
+    known = known.withColumns({"drawn": draw < min(1.0, fit_rows / size),
+                               "half": F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)).cast("int")})
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(~held_out(F.col("doc_id")))
+    labelled = stored(texts.join(known, "doc_id").select("text", "toxic", "half", "drawn"), "labelled")
+    totals = {r["half"]: (r["n"], r["t"]) for r in labelled.groupBy("half").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).collect()}
     every, toxic = sum(n for n, _ in totals.values()), sum(t for _, t in totals.values())
     if not every:
         return None
     prior = max(toxic / every, 1e-4)
     counts = ("all_0", "toxic_0", "all_1", "toxic_1")
-    found = sample.mapInArrow(_counted_forms, "form long, kind int, " + ", ".join(f"{c} long" for c in counts))
+    found = labelled.select("text", "toxic", "half").mapInArrow(_counted_forms, "form long, kind int, " + ", ".join(f"{c} long" for c in counts))
     found = found.groupBy("form", "kind").agg(*[F.sum(c).alias(c) for c in counts])
-    # forms of the bounded sample that are toxic often enough: a small part of its words
+    # forms that are toxic often enough: a small part of the vocabulary
     found = found.filter((F.col("toxic_0") + F.col("toxic_1") >= MIN_DOCUMENTS - 1) & (
         F.col("toxic_0") + F.col("toxic_1") >= F.lit(WEAK * 0.5) * (F.col("all_0") + F.col("all_1"))))
     table = found.toArrow()
@@ -294,18 +298,18 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model |
     both = (t0 + t1) >= MIN_DOCUMENTS
     lexicon = Lexicon(forms[both], _share(t0 + t1, a0 + a1, prior)[both])
     halves = tuple(Lexicon(forms[t >= MIN_DOCUMENTS - 1], _share(t, a, prior)[t >= MIN_DOCUMENTS - 1]) for a, t in ((a0, t0), (a1, t1)))
-    rows = sample.mapInArrow(_training_rows(halves), "x binary, toxic int").toArrow()
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist())).reshape(-1, N_MEASURES)
-    y = rows.column("toxic").to_numpy()
-    order = np.lexsort((y, *x.T))
-    x, y = x[order], y[order]
-    votes = voter_votes(x)
-    counted = Counter(map(bytes, votes))
-    positive = Counter(bytes(v) for v, t in zip(votes, y) if t)
-    patterns = np.stack([np.frombuffer(k, dtype=np.int8) for k in sorted(counted)])
+    rows = stored(labelled.mapInArrow(_training_rows(halves), "votes binary, x binary, toxic int"), "votes")
+    counted = sorted((bytes(r["votes"]), r["n"], r["t"]) for r in rows.groupBy("votes").agg(
+        F.count("*").alias("n"), F.sum((F.col("toxic") != 0).cast("int")).alias("t")).collect())  # a row for each pattern
+    patterns = np.stack([np.frombuffer(v, dtype=np.int8) for v, _, _ in counted])
     label_model = LabelModel(
-        patterns, np.array([counted[k] for k in sorted(counted)], dtype=float),
-        np.array([positive[k] for k in sorted(counted)], dtype=float))
+        patterns, np.array([n for _, n, _ in counted], dtype=float), np.array([t for _, _, t in counted], dtype=float))
+    blobs = rows.filter("x is not null").select("x").toArrow().column("x").to_pylist()  # about fit_rows
+    if not blobs:
+        return None
+    x = np.frombuffer(b"".join(blobs)).reshape(-1, N_MEASURES)
+    x = x[np.lexsort(x.T)]
+    votes = voter_votes(x)
     mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
     weights = _logistic((x - mean) / spread, label_model.posterior(votes))
     return Model(lexicon, weights, mean, spread)
