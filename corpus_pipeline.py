@@ -33,11 +33,9 @@ NEAR_PERCENT, NEAR_TREES = 80, 32
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one with the least doc_id; one row of each repeated doc_id."""
+    """Exactly one row of each near-duplicate class, repeated rows and null doc_ids included: that of the least doc_id."""
     importable(spark)
-    extra = chosen_path.near_duplicates(docs, min_percent=NEAR_PERCENT, trees=NEAR_TREES).filter(
-        "not kept and component_id is not null").filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(extra, "doc_id", "left_anti").select(docs.columns)
+    return chosen_path.one_of_each_class(docs, min_percent=NEAR_PERCENT, trees=NEAR_TREES).select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,11 +12,12 @@ but are not linked) is a crowd.  Its documents branch again in new trees, to the
 turn, as many trees as keep the chance to miss a link at ``MISS``.  What is still a crowd at the last depth is
 compared as pairs of blocks: a task holds two blocks at most, and no pair is compared twice in a node.
 
-Texts with equal sets are folded into their least doc_id first, so exact copies never meet in a node.
+What is linked are distinct sets, named by a hash of their sums, not doc_ids: texts with equal sets are one
+node of the graph, so exact copies never meet, and rows with a null doc_id or with another text under the same
+doc_id take part like all others.  A class takes its least non-null id.
 
 Null, empty and blank texts have an empty set, are linked with nothing and keep themselves.  Repeated rows
-share a class.  Rows with a null doc_id take part; a class takes the least non-null id.  Extra columns are
-ignored; an empty table gives no rows.
+share a class.  Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -48,6 +49,9 @@ BLOCK = 2000
 CROWD_DEPTHS = (8, 12, 16)
 MISS = 1e-4
 
+#: Parts that the rows of a set or class are dealt over where its leader is joined.
+SALTS = 16
+
 _WORD_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -123,9 +127,9 @@ def _signatures(trees: int, size: int):
                     pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * (2 * trees)), pa.array(nodes.ravel())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), pa.array(sizes),
+                    [batch.column("doc_id").slice(low, high - low), batch.column("mark").slice(low, high - low), pa.array(sizes),
                      pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), lists],
-                    names=["doc_id", "n_shingles", "sum_a", "sum_b", "nodes"],
+                    names=["doc_id", "mark", "n_shingles", "sum_a", "sum_b", "nodes"],
                 )
 
     return run
@@ -140,7 +144,7 @@ def _full_sets(size: int):
                 edges = np.concatenate([[0], np.cumsum(sizes)]).tolist()
                 blobs = [sets[a:b].tobytes() for a, b in zip(edges, edges[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), pa.array(blobs, pa.binary())], names=["doc", "tokens"]
+                    [batch.column("doc").slice(low, high - low), pa.array(blobs, pa.binary())], names=["doc", "tokens"]
                 )
 
     return run
@@ -224,7 +228,7 @@ def _node_links(percent: int):
 def _nodes(signatures: DataFrame, trees: int) -> DataFrame:
     """(tree, node, doc) for every tree in which the document is not alone."""
     entries = signatures.select(
-        F.col("doc_id").alias("doc"),
+        "doc",
         F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
             t.alias("tree"), F.get("nodes", t * 2).alias("shallow"), F.get("nodes", t * 2 + 1).alias("deep")))).alias("e"),
     ).select("doc", "e.*")
@@ -309,25 +313,68 @@ def near_duplicates(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT, trees: int = TREES
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable over links) and kept (doc_id = component_id)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with arrow_batches(docs.sparkSession):
-        return _near_duplicates(docs, shingle_words, min_percent, trees)
+        rows, leaders = _classes(docs, shingle_words, min_percent, trees)
+    component = F.when(F.col("doc").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return _with_leaders(rows, leaders).select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
 
+def one_of_each_class(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, min_percent: int = MIN_PERCENT, trees: int = TREES
+) -> DataFrame:
+    """Rows of ``docs``, exactly one of each class: of the least doc_id (null last), and of its texts one.
 
-def _near_duplicates(docs: DataFrame, shingle_words: int, min_percent: int, trees: int) -> DataFrame:
-    signatures = stored(
-        docs.mapInArrow(_signatures(trees, shingle_words),
-                        "doc_id long, n_shingles long, sum_a long, sum_b long, nodes array<long>"), "signatures")
-    full = signatures.filter("n_shingles > 0")
-    same = stored(full.groupBy("n_shingles", "sum_a", "sum_b").agg(F.min("doc_id").alias("first")), "same-sets")
-    leaders = full.join(same.select(F.col("first").alias("doc_id")).filter("doc_id is not null"), "doc_id", "left_semi")
-    nodes = stored(_nodes(leaders.dropDuplicates(["doc_id"]), trees), "tree-nodes")
+    Texts without words are in no class; of their rows with equal doc_id and text one stays.
+    """
+    with arrow_batches(docs.sparkSession):
+        rows, leaders = _classes(docs, shingle_words, min_percent, trees)
+    named = _with_leaders(rows, leaders).select(
+        F.col("doc_id").alias("id"), F.col("mark").alias("m"),
+        (F.col("doc").isNotNull() & ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark")))).alias("extra"))
+    # only rows that go, or that are repeated, are named
+    wanted = stored(named.groupBy("id", "m").agg(F.count("*").alias("rows"), F.max("extra").alias("extra")).filter(
+        "extra or rows > 1"), "extra-rows")
+    marked = docs.withColumn("_mark", F.xxhash64("text"))
+    same = lambda other: marked["doc_id"].cast("long").eqNullSafe(other["id"]) & (marked["_mark"] == other["m"])
+    once = marked.join(wanted, same(wanted), "left_anti")
+    again = wanted.filter("not extra")
+    repeated = marked.join(again, same(again), "left_semi")
+    # of rows that differ in other columns only, the least, found with map-side combine
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = repeated.groupBy("doc_id", "_mark").agg(
+        F.min(F.struct("text", *others)).alias("row")).select("doc_id", "row.*")
+    return once.select(docs.columns).union(least.select(docs.columns))
+
+
+def _with_leaders(rows: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Rows of ``_classes`` with ``first``, the leader of their class; salted, as one class can hold many rows."""
+    salted = leaders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "mark", "doc"), SALTS).cast("int")).join(
+        salted, ["class", "salt"], "left")
+
+
+def _classes(docs: DataFrame, shingle_words: int, min_percent: int, trees: int) -> tuple[DataFrame, DataFrame]:
+    """Every row as (doc_id, mark of the text, n_shingles, doc, class), and (class, first): its least (null, doc_id, mark).
+
+    ``doc`` names the row's set and ``class`` the least name linked with it; both are null for an empty set.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    signatures = docs.mapInArrow(
+        _signatures(trees, shingle_words), "doc_id long, mark long, n_shingles long, sum_a long, sum_b long, nodes array<long>")
+    signatures = stored(signatures.withColumn(
+        "doc", F.when(F.col("n_shingles") > 0, F.xxhash64("n_shingles", "sum_a", "sum_b"))), "signatures")
+    full = signatures.filter("doc is not null")
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    same = stored(full.groupBy("doc").agg(F.min(place).alias("first"), F.first("nodes").alias("nodes")), "same-sets")
+    nodes = stored(_nodes(same, trees), "tree-nodes")
     size = full.agg(F.avg("n_shingles")).first()[0] or 0
     wide = 8.0 * size + 64
     # joined the same way at every size: only texts that share a node move
-    wanted = nodes.select(F.col("doc").alias("doc_id")).distinct().hint("merge")
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(shingle_words), "doc long, tokens binary")
-    sets = stored(sets, "sets").dropDuplicates(["doc"])  # repeated rows of one doc_id
+    wanted = same.join(nodes.select("doc").distinct(), "doc", "left_semi").select(
+        "doc", F.col("first.doc_id").alias("id"), F.col("first.mark").alias("m")).hint("merge")
+    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["id"]) & (docs["mark"] == wanted["m"])).select("doc", "text")
+    sets = stored(texts.mapInArrow(_full_sets(shingle_words), "doc long, tokens binary"), "sets").dropDuplicates(["doc"])
     links, _ = _links(nodes.filter(F.col("tree") < FIRST_TREES), None, sets, min_percent, wide)
     classes = components(links)
     for depth in (DEEP, *CROWD_DEPTHS):
@@ -338,9 +385,10 @@ def _near_duplicates(docs: DataFrame, shingle_words: int, min_percent: int, tree
         classes = components(links)
         if crowd is None or crowd.isEmpty():
             break
-    folded = same.join(classes.select(F.col("node").alias("first"), "component"), "first", "left").select(
-        "n_shingles", "sum_a", "sum_b", F.coalesce("component", "first").alias("component"))
-    joined = signatures.drop("nodes").join(folded, ["n_shingles", "sum_a", "sum_b"], "left")
-    component = F.coalesce("component", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
-                         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    classes = classes.select(F.col("node").alias("doc"), F.col("component").alias("class"))
+    named = same.select("doc", "first").join(classes, "doc", "left").withColumn("class", F.coalesce("class", "doc"))
+    leaders = stored(named.groupBy("class").agg(F.min("first").alias("first")), "leaders")
+    known = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = signatures.drop("nodes", "sum_a", "sum_b").withColumn("salt", F.pmod(F.xxhash64("doc_id", "mark"), SALTS).cast("int"))
+    rows = rows.join(known, ["doc", "salt"], "left").drop("salt").withColumn("class", F.coalesce("class", "doc"))
+    return rows, leaders
