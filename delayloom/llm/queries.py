@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from delayloom.llm import (
     chosen_path,
+    conversations,
     decontaminate,
+    fuzzy_simhash,
     langid,
     line_dedup,
     packing,
     pii,
     quality,
     suffix_dedup,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -113,6 +116,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(read_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_after_damage(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_fuzzy_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (
     op1_line_dedup,
     op2_toxicity,
@@ -124,6 +139,9 @@ _QUERIES = (
     op8_near_duplicates,
     op9_packing,
     op10_suffix_dedup,
+    op11_token_alignment,
+    op12_conversation_repair,
+    op13_fuzzy_simhash,
 )
 
 
