@@ -26,6 +26,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,9 @@ PIECE_BPE = "piece_bpe_32k.model"
 #: Characters that a worker remembers, groups' texts included, and bytes of texts in one step.
 REMEMBERED_CHARS, STEP_BYTES = 24_000_000, 1 << 20
 
+#: Behind a token's id: another of its group follows, the group's B tokens follow, or the group ends.
+SEPARATORS = ",|;"
+
 ALIGNED_SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, "
                   "pairs array<int>, times array<int>")
 
@@ -74,6 +78,11 @@ class Vocabularies:
                 self.bytes_a[number] = bytes(alphabet[c] for c in token)
         self.bytes_b = [self._piece(n) for n in range(self.b.vocab_size())]
         self.blank = self.b.piece_to_id("▁")
+        # each id with each separator behind it, and the bytes of each token, to be gathered by number
+        ids = range(max(len(self.bytes_a), len(self.bytes_b)))
+        self.spelt = pa.array([f"{number}{mark}" for number in ids for mark in SEPARATORS])
+        self.spelt_sizes = np.array([len(f"{number},") for number in ids for _ in SEPARATORS])
+        self.pieces_b = pa.array(self.bytes_b, pa.binary())
         self.sizes_a = np.array([len(x) for x in self.bytes_a])
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
         self.pairs = self._pairs()
@@ -102,6 +111,74 @@ class Vocabularies:
         return np.array(sorted(codes), dtype=np.int64)
 
 
+    def encoded_a(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all stretches, and how many each has.
+
+        Many stretches are one text to the tokenizer, cut again by bytes; one that ends in a blank is a text of its own.
+        """
+        chunks = chunked(stretches)
+        texts = ["".join([" " + s for s in stretches[i:j]]) for i, j in zip(chunks, chunks[1:])]
+        ids = flat([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.cumsum([len(s.encode("utf-8", "surrogatepass")) + 1 for s in stretches])
+        return ids, np.diff(np.searchsorted(np.cumsum(self.sizes_a[ids]), ends, side="right"), prepend=0)
+
+    def encoded_b(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of B; where bytes differ, stretches are encoded alone."""
+        chunks = chunked(stretches)
+        texts = [" ".join(stretches[i:j]) for i, j in zip(chunks, chunks[1:])]
+        found = [ids or [self.blank] for ids in self.b.encode(texts, num_threads=1)]
+        ids, sizes = flat(found), np.array(list(map(len, found)))
+        if not self.agree(texts, ids, sizes).all():
+            found = [ids or [self.blank] for ids in self.b.encode(stretches, num_threads=1)]
+            return flat(found), np.array(list(map(len, found)))
+        ends = np.cumsum([len(s.encode("utf-8", "surrogatepass")) + 1 for s in stretches])
+        return ids, np.diff(np.searchsorted(np.cumsum(self.sizes_b[ids]), ends, side="right"), prepend=0)
+
+    def agree(self, stretches: list[str], ids_b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether B's tokens of each stretch have the bytes of a space and the stretch."""
+        whole = [b" " + s.encode("utf-8", "surrogatepass") for s in stretches]
+        gathered = gathered_bytes(self.pieces_b, ids_b)
+        if gathered == b"".join(whole):  # the usual case; lengths may still be dealt differently
+            ends = np.cumsum(self.sizes_b[ids_b])[np.cumsum(sizes) - 1]
+            return ends == np.cumsum(list(map(len, whole)))
+        ends = np.concatenate([[0], np.cumsum(self.sizes_b[ids_b])])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        return np.array([gathered[i:j] == own for own, i, j in zip(whole, ends, ends[1:])])
+
+    def written(
+        self, ids_a: np.ndarray, ids_b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, last: np.ndarray, last_b: np.ndarray,
+        cuts: np.ndarray,
+    ) -> list[str]:
+        """Groups of each stretch as ``a1,a2|b1;a3|b2,b3``; ``cuts`` are the tokens up to the end of each stretch."""
+        marks_a, marks_b = np.zeros(len(ids_a), dtype=np.int64), np.zeros(len(ids_b), dtype=np.int64)
+        marks_a[last], marks_b[last_b] = 1, 2
+        order = np.argsort(np.concatenate([2 * of_a, 2 * of_b + 1]), kind="stable")  # by group, A before B
+        numbers = np.concatenate([ids_a, ids_b]) * len(SEPARATORS) + np.concatenate([marks_a, marks_b])
+        lengths = self.spelt_sizes[numbers[order]]
+        text = gathered_bytes(self.spelt, numbers[order]).decode("ascii")
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], cuts])].tolist()
+        return [text[i : max(i, j - 1)] for i, j in zip(ends, ends[1:])]
+
+
+def chunked(stretches: list[str], most: int = 256) -> list[int]:
+    """Cuts between stretches that are encoded together: none ends in a blank but the last of a chunk."""
+    cuts = [0]
+    for number, stretch in enumerate(stretches, 1):
+        if number - cuts[-1] == most or not stretch or stretch[-1].isspace():
+            cuts.append(number)
+    return cuts if cuts[-1] == len(stretches) else [*cuts, len(stretches)]
+
+
+def flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=sum(map(len, lists)))
+
+
+def gathered_bytes(values: pa.Array, numbers: np.ndarray) -> bytes:
+    """The values of the given numbers one after the other."""
+    found = values.take(pa.array(numbers))
+    offsets = np.frombuffer(found.buffers()[1], dtype=np.int32)
+    return found.buffers()[2].to_pybytes()[offsets[found.offset] : offsets[found.offset + len(found)]] if len(found) else b""
+
+
 def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terminal (an index into A) of each A and each B token, by pointer jumping.
 
@@ -142,47 +219,28 @@ class _Stretches:
 
     def learn(self, stretches: list[str]) -> None:
         words = self.words
-        found_a = [e.ids for e in words.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)]
-        found_b = [ids or [words.blank] for ids in words.b.encode(stretches, num_threads=1)]
-        bytes_b = words.bytes_b
-        agree = [b"".join([bytes_b[i] for i in ids]) == b" " + s.encode("utf-8", "surrogatepass")
-                 for ids, s in zip(found_b, stretches)]
         counts = np.zeros((len(stretches), 4), dtype=np.int64)
+        ids_a, counts[:, 0] = words.encoded_a(stretches)
+        ids_b, counts[:, 1] = words.encoded_b(stretches)
+        agree = words.agree(stretches, ids_b, counts[:, 1])
+        if not agree.all():
+            ids_a, ids_b = ids_a[np.repeat(agree, counts[:, 0])], ids_b[np.repeat(agree, counts[:, 1])]
+            counts[~agree] = 0
         counts[:, 3] = agree
-        kept = np.flatnonzero(counts[:, 3])
-        texts, starts = [""] * len(stretches), np.zeros(len(stretches) + 1, dtype=np.int64)
-        if len(kept):
-            counts[kept, 0] = [len(found_a[k]) for k in kept]
-            counts[kept, 1] = [len(found_b[k]) for k in kept]
-            ids_a = np.array([i for k in kept for i in found_a[k]], dtype=np.int64)
-            ids_b = np.array([i for k in kept for i in found_b[k]], dtype=np.int64)
-            ends_a, ends_b = np.cumsum(words.sizes_a[ids_a]), np.cumsum(words.sizes_b[ids_b])
-            of_a, of_b = group_ends(ends_a, ends_b)
-            last = np.flatnonzero(of_a == np.arange(len(of_a)))  # the terminals, one a group
-            last_b = np.searchsorted(ends_b, ends_a[last])
-            cuts_a, cuts_b = last + 1, np.searchsorted(of_b, last, side="right")
-            groups = np.searchsorted(last, np.cumsum(counts[kept, 0]))  # groups up to the end of each stretch
-            counts[kept, 2] = np.diff(groups, prepend=0)
-            names_a, names_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-            edges_a, edges_b = [0, *cuts_a.tolist()], [0, *cuts_b.tolist()]
-            written = [
-                f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}"
-                for i, j, k, m in zip(edges_a, edges_a[1:], edges_b, edges_b[1:])
-            ]
-            for k, low, high in zip(kept.tolist(), [0, *groups.tolist()], groups.tolist()):
-                texts[k] = ";".join(written[low:high])
-            codes = ids_a[last] * len(words.bytes_b) + ids_b[last_b]
-            links = np.searchsorted(words.pairs, codes).astype(np.int32)
-            np.cumsum(counts[:, 2], out=starts[1:])
-        else:
-            links = np.zeros(0, dtype=np.int32)
-        for s in stretches:
-            self.index[s] = len(self.index)
+        ends_a, ends_b = np.cumsum(words.sizes_a[ids_a]), np.cumsum(words.sizes_b[ids_b])
+        of_a, of_b = group_ends(ends_a, ends_b)
+        last = np.flatnonzero(of_a == np.arange(len(of_a)))  # the terminals, one a group
+        last_b = np.searchsorted(ends_b, ends_a[last])
+        edges = np.searchsorted(last, np.cumsum(counts[:, 0]))  # groups up to the end of each stretch
+        counts[:, 2] = np.diff(edges, prepend=0)
+        texts = words.written(ids_a, ids_b, of_a, of_b, last, last_b, np.cumsum(counts[:, 0] + counts[:, 1]))
+        codes = ids_a[last] * len(words.bytes_b) + ids_b[last_b]
+        self.index.update(zip(stretches, range(len(self.texts), len(self.texts) + len(stretches))))
         self.chars += sum(map(len, stretches)) + sum(map(len, texts))
         self.texts += texts
         self.counts = np.concatenate([self.counts, counts])
-        self.starts = np.concatenate([self.starts, starts[1:] + len(self.links)])
-        self.links = np.concatenate([self.links, links])
+        self.starts = np.concatenate([self.starts, edges + len(self.links)])
+        self.links = np.concatenate([self.links, np.searchsorted(words.pairs, codes).astype(np.int32)])
 
 
 def stretches(text: str) -> list[str]:
