@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import product
 
 import pyarrow as pa
@@ -50,10 +51,18 @@ MUST_GO = 8
 WORDLESS = r"[^\x20\x09-\x0D]"
 ENDED = r"[.!?][\x20\x09-\x0D]*\z"
 
-Table = tuple[tuple[tuple[int, int], ...], ...]  # by state before and after: cost, and rank of the audit
 Vector = tuple[tuple[int, int], ...]  # by state: cost, and rank of the audit
 
 
+class Table(tuple):
+    """By state before and after: cost, and rank of the audit.  Told apart by identity, so that steps are remembered cheaply."""
+
+    __hash__ = object.__hash__
+
+    def __eq__(self, other: object) -> bool:
+        return self is other
+
+
 def _moves(code: int) -> dict[tuple[int, int], tuple[int, str]]:
     """Cheapest way of a row between two states, insertions before it included: cost and letters."""
     best: dict[tuple[int, int], tuple[int, str]] = {}
@@ -82,7 +91,7 @@ ENDING = {(state, NONE): min((INSERT * k, "I" * k) for k in range(3) if (state,
 def _table(moves: dict[tuple[int, int], tuple[int, str]]) -> Table:
     order = {letters: rank for rank, letters in enumerate(sorted({letters for _, letters in moves.values()}))}
     entry = lambda way: (way[0], order[way[1]]) if way else (FAR, 0)
-    return tuple(tuple(entry(moves.get((p, q))) for q in range(4)) for p in range(4))
+    return Table(tuple(entry(moves.get((p, q))) for q in range(4)) for p in range(4))
 
 
 TABLES = [_table(moves) for moves in MOVES]
@@ -93,6 +102,7 @@ def _start(state: int) -> Vector:
     return tuple((0 if s == state else FAR, 0) for s in range(4))
 
 
+@lru_cache(maxsize=1 << 14)
 def _forward(vector: Vector, table: Table) -> Vector:
     """Costs and ranks of the states after one more table."""
     found = []
@@ -103,6 +113,7 @@ def _forward(vector: Vector, table: Table) -> Vector:
     return tuple((way[0], order.index(way[1:])) if way[0] < FAR else (FAR, 0) for way in found)
 
 
+@lru_cache(maxsize=1 << 14)
 def _backward(costs: tuple[int, ...], table: Table) -> tuple[int, ...]:
     return tuple(min(FAR, *(table[p][q][0] + costs[q] for q in range(4))) for p in range(4))
 
@@ -115,7 +126,14 @@ class Item:
     times: int = 1
 
     def forward(self, vector: Vector) -> Vector:
-        """Repeated deletions soon change costs by a constant only; the rest is added at once."""
+        """Repeated deletions soon change costs by a constant only; the rest is added at once.
+
+        Costs are counted from the least, so the few vectors that occur are computed once.
+        """
+        least = min(c for c, _ in vector)
+        if self.times == 1:
+            after = _forward(tuple((c - least if c < FAR else c, r) for c, r in vector), self.table)
+            return tuple((c + least if c < FAR else c, r) for c, r in after)
         for done in range(self.times):
             after = _forward(vector, self.table)
             rise = {b[0] - a[0] for a, b in zip(vector, after) if b[0] < FAR}
@@ -126,6 +144,10 @@ class Item:
         return vector
 
     def backward(self, costs: tuple[int, ...]) -> tuple[int, ...]:
+        least = min(costs)
+        if self.times == 1:
+            before = _backward(tuple(c - least if c < FAR else c for c in costs), self.table)
+            return tuple(c + least if c < FAR else c for c in before)
         for done in range(self.times):
             before = _backward(costs, self.table)
             rise = {b - a for a, b in zip(costs, before) if b < FAR}
@@ -202,7 +224,7 @@ class Chunk:
         return [Item(TABLES[code], times) for code, times in zip(self.codes, self.times)]
 
     def table(self) -> Table:
-        return tuple(total(self.items(), state) for state in range(4))
+        return Table(total(self.items(), state) for state in range(4))
 
     def edits(self, first: int, last: int) -> tuple[str, list[tuple[str, str]]]:
         """Letters of the audit between two states, and the repaired (role, text) rows."""
@@ -276,23 +298,24 @@ def _batches(rows: Iterator[dict], columns: list[tuple[str, pa.DataType]], most_
 def _of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bool, Chunk]]:
     """(conversation, number, whether its rows end here, chunk) of a sorted partition."""
     conv, chunk, number, first_of = None, None, 0, None
+    names = ("conv", "kind", "turn", "role", "key", "text", "blank", "cut", "n")
     for batch in batches:
-        for row in batch.to_pylist():
-            if chunk is not None and row["conv"] != conv:
+        for own, kind, turn, role, key, text, blank, cut, n in zip(*(batch.column(name).to_pylist() for name in names)):
+            if chunk is not None and own != conv:
                 yield conv, number, True, chunk
                 chunk = None
             if chunk is None:
-                conv, chunk, number, first_of = row["conv"], Chunk(), 0, None
+                conv, chunk, number, first_of = own, Chunk(), 0, None
             if chunk.bytes > CHUNK_BYTES or len(chunk.codes) > CHUNK_ROWS:
                 yield conv, number, False, chunk
                 chunk, number = Chunk(), number + 1
-            if row["kind"] == 0:
-                first_of = (row["turn"], row["role"], row["key"])
-                chunk.add(row["turn"], row["role"], row["text"], row["blank"], row["cut"], 1)
-            elif row["kind"] == 1:
-                copies = row["n"] - (first_of == (row["turn"], row["role"], row["key"]))
+            if kind == 0:
+                first_of = (turn, role, key)
+                chunk.add(turn, role, text, blank, cut, 1)
+            elif kind == 1:
+                copies = n - (first_of == (turn, role, key))
                 if copies:
-                    chunk.add(row["turn"], row["role"], None, row["blank"], False, copies)
+                    chunk.add(turn, role, None, blank, False, copies)
     if chunk is not None:
         yield conv, number, True, chunk
 
@@ -354,7 +377,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> Iterator[dict]:
         for chunks in _by_conversation(batches):
-            tables = [tuple(tuple((c["table"][8 * p + 2 * q], c["table"][8 * p + 2 * q + 1]) for q in range(4)) for p in range(4))
+            tables = [Table(tuple((c["table"][8 * p + 2 * q], c["table"][8 * p + 2 * q + 1]) for q in range(4)) for p in range(4))
                       for c in chunks]
             items = [*map(Item, tables), Item(END_TABLE)]
             states = crossings(items, NONE, NONE)
