@@ -45,13 +45,15 @@ WITH parts AS (
 ), worded AS (
     SELECT doc_id, place, body, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS n FROM bodies WHERE body <> ''
 ), runs AS (
-    SELECT doc_id, n, body, lead(body, 1) OVER own AS second, lead(body, 2) OVER own AS third
-    FROM worded WINDOW own AS (PARTITION BY doc_id ORDER BY n)
+    SELECT doc_id, n, body, lead(body, 1) OVER own AS second, lead(body, 2) OVER own AS third, words, lead(words, 1) OVER own AS more
+    FROM (SELECT *, len(regexp_split_to_array(body, '[\\x20\\x09-\\x0D]+')) AS words FROM worded)
+    WINDOW own AS (PARTITION BY doc_id ORDER BY n)
 ), windows AS (
     SELECT doc_id, n, 3 AS size, concat(body, chr(10), second, chr(10), third) AS content FROM runs WHERE third IS NOT NULL
     UNION ALL
-    SELECT doc_id, n, 1 AS size, body AS content FROM runs
-    WHERE len(regexp_split_to_array(body, '[\\x20\\x09-\\x0D]+')) >= 50
+    SELECT doc_id, n, 2 AS size, concat(body, chr(10), second) AS content FROM runs WHERE words + more >= 50
+    UNION ALL
+    SELECT doc_id, n, 1 AS size, body AS content FROM runs WHERE words >= 50
 ), later AS (
     SELECT doc_id, n, size FROM (
         SELECT *, row_number() OVER (PARTITION BY size, content ORDER BY doc_id, n) AS turn FROM windows

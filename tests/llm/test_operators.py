@@ -220,7 +220,7 @@ def test_packing_exchanges_and_bounds(spark):
 
 def test_lines_match_brute_force(spark):
     random.seed(2)
-    pool = [f"line {n}" for n in range(12)] + ["", "  ", "word " * 60]
+    pool = [f"line {n}" for n in range(12)] + ["", "  ", "word " * 60, "half " * 30, "rest " * 22]
     rows = [(i, "\n".join(random.choice(pool) for _ in range(random.randint(0, 9)))) for i in range(120)] + [(None, "x\ny\nz"), (200, None)]
     got = {r.doc_id: r for r in line_dedup.delete_repeated_runs(documents(spark, rows)).collect()}
     seen, lost = set(), {}
@@ -228,9 +228,9 @@ def test_lines_match_brute_force(spark):
         lines = [(k, x.strip()) for k, x in enumerate((text or "").split("\n")) if x.strip()]
         gone = set()
         for n in range(len(lines)):
-            for size in (3, 1):
+            for size in (3, 2, 1):
                 run = tuple(x for _, x in lines[n : n + size])
-                if len(run) == size and (size == 3 or len(run[0].split()) >= 50):
+                if len(run) == size and (size == 3 or sum(len(x.split()) for x in run) >= 50):
                     if run in seen:
                         gone.update(k for k, _ in lines[n : n + size])
                     seen.add(run)
@@ -242,6 +242,21 @@ def test_lines_match_brute_force(spark):
     assert line_dedup.delete_repeated_runs(documents(spark, [])).count() == 0
 
 
+def test_two_lines_of_over_fifty_words_are_a_run(spark):
+    a, b = (" ".join(f"{name}{k}" for k in range(40)) for name in "ab")
+    rows = [(1, f"{a}\n{b}\nx\n{a}\n{b}"), (2, f"y\n{a}\n \n{b}"), (3, a), (4, f"{b}\n{a}")]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed, r.n_runs) for r in line_dedup.delete_repeated_runs(documents(spark, rows)).collect()}
+    assert got == {1: (f"{a}\n{b}\nx", 5, 2, 1), 2: ("y\n ", 3, 2, 1), 3: (a, 1, 0, 0), 4: (f"{b}\n{a}", 2, 0, 0)}
+
+
+def test_winnowing_selects_fewer_places_than_windows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    places = line_dedup._places(line_dedup._sequences(docs), 3, 50)
+    size = places.agg(F.count("*").alias("places"), F.sum(F.size("windows")).alias("windows"),
+                      F.countDistinct("doc_id", "mark", "place").alias("distinct")).first()
+    assert size.places == size.distinct < 0.8 * size.windows
+
+
 def test_benchmark_items_are_found_with_edits(spark):
     random.seed(3)
     words = ["".join(random.choice("abcdefghij") for _ in range(random.randint(2, 7))) for _ in range(400)]
