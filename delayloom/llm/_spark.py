@@ -35,6 +35,27 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: All columns of documents but doc_id and text, as one: what an operator adds cannot clash with what it holds.
+REST = "other_columns"
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the rest of the row in one column."""
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    rest = F.struct(*(F.col(f"`{name}`") for name in others)) if others else F.lit(None).cast("string")
+    return docs.select("doc_id", "text", rest.alias(REST))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, from packed rows with any other columns beside them; ``changed`` replaces some."""
+    def column(name: str) -> Column:
+        if name in changed:
+            return changed[name].cast(docs.schema[name].dataType).alias(name)
+        return F.col(name) if name in ("doc_id", "text") else F.col(REST).getField(name).alias(name)
+
+    return rows.select(*map(column, docs.columns))
+
+
 #: Texts in an Arrow batch: a few MB for usual texts.
 BATCH_TEXTS = 1000
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
 from delayloom.llm._graph import components
-from delayloom.llm._spark import arrow_batches, grouped, parts_for, stored
+from delayloom.llm._spark import REST, arrow_batches, grouped, packed, parts_for, stored, unpacked
 
 SHINGLE_WORDS = 5
 #: Link when 100 * intersection >= MIN_PERCENT * union.
@@ -335,16 +335,15 @@ def one_of_each_class(
     # only rows that go, or that are repeated, are named
     wanted = stored(named.groupBy("id", "m").agg(F.count("*").alias("rows"), F.max("extra").alias("extra")).filter(
         "extra or rows > 1"), "extra-rows")
-    marked = docs.withColumn("_mark", F.xxhash64("text"))
+    marked = packed(docs).withColumn("_mark", F.xxhash64("text"))
     same = lambda other: marked["doc_id"].cast("long").eqNullSafe(other["id"]) & (marked["_mark"] == other["m"])
     once = marked.join(wanted, same(wanted), "left_anti")
     again = wanted.filter("not extra")
     repeated = marked.join(again, same(again), "left_semi")
-    # of rows that differ in other columns only, the least, found with map-side combine
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    least = repeated.groupBy("doc_id", "_mark").agg(
-        F.min(F.struct("text", *others)).alias("row")).select("doc_id", "row.*")
-    return once.select(docs.columns).union(least.select(docs.columns))
+    # of rows that differ in other columns only, one by a hash of them, found with map-side combine
+    chosen = F.min_by(F.struct("text", REST), F.struct(F.xxhash64(F.to_json(F.struct(REST))), F.to_json(F.struct(REST))))
+    least = repeated.groupBy("doc_id", "_mark").agg(chosen.alias("row")).select("doc_id", "row.*")
+    return unpacked(once.select("doc_id", "text", REST).union(least), docs)
 
 
 def _with_leaders(rows: DataFrame, leaders: DataFrame) -> DataFrame:

@@ -16,8 +16,8 @@ The benchmark is read in blocks of bounded size, each sent to all tasks; documen
 shuffled, so no source, passage or item makes a hot task.
 
 Null and empty texts contain nothing; items without text are never found.  Items with a null item_id are reported
-with a null.  Repeated documents are each reported; repeated items are each reported.  Empty tables give no rows.  Extra
-columns are ignored (kept by ``drop_contaminated``).
+with a null, and so are rows with a null doc_id.  Repeated documents are each reported; repeated items are each reported.
+Empty tables give no rows.  Extra columns, whatever their names and types, are ignored (kept by ``drop_contaminated``).
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
-from delayloom.llm._spark import arrow_batches, parts_for, stored
+from delayloom.llm._spark import arrow_batches, packed, parts_for, stored, unpacked
 
 GRAM = 12
 EDIT_PERCENT = 6
@@ -221,6 +221,20 @@ def _short_matches(data: np.ndarray, offsets: np.ndarray, probes: Probes) -> Ite
             yield int(row[k]), int(numbers[probe[k]]), int(origin[at[k]]) - base, int(origin[end[k] - 1]) + 1 - base
 
 
+def _found(batch: pa.RecordBatch, probes: Probes) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+    """(row, item, matches of the item's probes) of a batch of texts."""
+    data, offsets = tb.text_bytes(batch.column("text"))
+    for low, high in tb.steps(offsets):
+        own: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        step = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], probes
+        for doc, key, edits, start, end in _matches(*step):
+            own.setdefault((low + doc, probes.item[key]), []).append((edits, start, end))
+        for doc, item, start, end in _short_matches(*step):
+            own[low + doc, item] = [(0, start, end)]
+        for (doc, item), found in own.items():
+            yield doc, item, found
+
+
 def _scan(items: list[tuple[int | None, str, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes = Probes(items)
@@ -228,22 +242,11 @@ def _scan(items: list[tuple[int | None, str, int]]):
         for item in probes.item:
             number[item] = number.get(item, 0) + 1
         for batch in batches:
-            data, offsets = tb.text_bytes(batch.column("text"))
             rows = []
-            for low, high in tb.steps(offsets):
-                own: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-                for doc, key, edits, start, end in _matches(
-                    data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], probes
-                ):
-                    own.setdefault((low + doc, probes.item[key]), []).append((edits, start, end))
-                for doc, item, start, end in _short_matches(
-                    data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], probes
-                ):
-                    own[low + doc, item] = [(0, start, end)]
-                for (doc, item), found in own.items():
-                    item_id, _, times = items[item]
-                    rows.extend([(doc, item_id, number.get(item, 1), len(found), min(f[0] for f in found),
-                                  min(f[1] for f in found), max(f[2] for f in found))] * times)
+            for doc, item, found in _found(batch, probes):
+                item_id, _, times = items[item]
+                rows.extend([(doc, item_id, number.get(item, 1), len(found), min(f[0] for f in found),
+                              min(f[1] for f in found), max(f[2] for f in found))] * times)
             if rows:
                 doc, *columns = zip(*rows)
                 kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
@@ -255,6 +258,19 @@ def _scan(items: list[tuple[int | None, str, int]]):
     return run
 
 
+def _clean(items: list[tuple[int | None, str, int]]):
+    """Rows whose own text contains none of the items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probes = Probes(items)
+        for batch in batches:
+            clean = np.ones(batch.num_rows, dtype=bool)
+            clean[[doc for doc, _, _ in _found(batch, probes)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str, int]]]:
     """Items with the number of their rows, in blocks of about BLOCK_BYTES, by a hash of the item; an item is in one block."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").groupBy("item_id", "text").count()
@@ -277,5 +293,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that contain no benchmark item; a document without doc_id cannot be named and stays."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Rows of ``docs`` that contain no benchmark item, with all their columns.
+
+    Each row is decided by its own text as it passes by: rows without doc_id, or with another text under the same doc_id,
+    are rows like any other, and nothing is shuffled.  The result is stored.
+    """
+    rows = packed(docs)
+    with arrow_batches(docs.sparkSession):
+        for items in _blocks(benchmark):
+            rows = rows.mapInArrow(_clean(items), rows.schema)
+        return stored(unpacked(rows, docs), "clean")
