@@ -249,8 +249,8 @@ def pack(
 ) -> DataFrame:
     """Assign every piece a sequence and a gapless offset; ``certified``: its last partition met its bound.
 
-    Each round deals the open pieces by a hash over partitions of about ``group_pieces``, so neither a
-    source nor a length that many documents share makes a large group.
+    Each round deals the open rows by a hash of their number over partitions of about ``group_pieces``, so neither a
+    source, a doc_id nor a length that many documents share makes a large group.
     """
     done, pool, parts = None, pieces, None
     for round_number in range(exchanges + 1):
@@ -259,7 +259,8 @@ def pack(
             break
         before, parts = parts, parts_for(size, group_pieces)
         last = round_number == exchanges or parts == 1 or parts == before
-        part = F.pmod(F.xxhash64("doc_id", "piece", F.lit(round_number)), F.lit(parts))
+        # by the row's number in the stored table: rows without doc_id, or under one, are dealt like any other
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(round_number)), F.lit(parts))
         packed = stored(
             pool.withColumn("part", part)
             .repartition(parts, "part")
