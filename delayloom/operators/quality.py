@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from functools import reduce
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayloom import rules, schemas
 from delayloom.functions import labels
+from delayloom.functions.lookups import measured
 from delayloom.functions.measures import one_row, percent, rule_rows
+from delayloom.functions.quantiles import exact_quantiles
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -21,36 +23,38 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return one.select(F.inline(F.array(*pairs)))
 
 
-def describe(df: DataFrame, value: str, by: Sequence[str] = (), digits: int = 6) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum.
+QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 
-    Values are first counted per distinct value, so the exact quantiles keep
-    one entry per distinct value rather than one per row.
-    """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("weight"))
-    v, w = F.col(value), F.col("weight")
-    quartile = {q: F.percentile(v, q, w) for q in (0.25, 0.5, 0.75)}
-    mean = F.sum(v * w) / F.sum(w)
-    grouped = (counted.groupBy(*by) if by else counted).agg(
-        F.sum(w).alias("count"),
-        mean.alias("mean"),
+
+def describe(df: DataFrame, value: str, by: Sequence[str] = (), digits: int = 6) -> DataFrame:
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum of the finite values."""
+    v = F.col(value)
+    known = df.select(*by, v).filter(v.isNotNull())
+    grouped = (known.groupBy(*by) if by else known).agg(
+        F.count(v).alias("count"),
+        F.avg(v).alias("mean"),
         F.min(v).cast("double").alias("min"),
-        *(quartile[q].alias(name) for q, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))),
         F.max(v).cast("double").alias("max"),
-        F.sum(v * v * w).alias("_squares"),
+        F.sum(v * v).alias("_squares"),
     )
     variance = (F.col("_squares") - F.col("count") * F.col("mean") * F.col("mean")) / F.nullif(
         F.col("count") - 1, F.lit(0)
     )
+    quartiles = exact_quantiles(known, value, QUARTILES, by)
+    renamed = quartiles.select(*(F.col(name).alias(f"_of_{name}") for name in by), *QUARTILES)
+    if by:
+        joined = grouped.join(renamed, [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in by], "left")
+    else:
+        row = one_row(renamed)
+        joined = grouped.select("*", *(row[name].alias(name) for name in QUARTILES))
     rounded = [F.round(name, digits).alias(name) for name in ("mean", "min", "q25", "median", "q75", "max")]
-    return grouped.select(
+    return joined.select(
         *by, "count", rounded[0], F.round(F.sqrt(F.greatest(variance, F.lit(0.0))), digits).alias("std"), *rounded[1:]
     )
 
 
 def median_by(df: DataFrame, value: str, by: str, name: str = "median_delay", digits: int = 6) -> DataFrame:
-    counted = df.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("weight"))
-    return counted.groupBy(by).agg(F.round(F.percentile(F.col(value), 0.5, F.col("weight")), digits).alias(name))
+    return exact_quantiles(df, value, {name: 0.5}, [by]).select(by, F.round(name, digits).alias(name))
 
 
 def mean_by(seconds: Column, df: DataFrame, by: str, name: str = "mean_delay", digits: int = 6) -> DataFrame:
@@ -69,28 +73,36 @@ def late_ratio(df: DataFrame, by: str, digits: int = 6) -> DataFrame:
     return df.groupBy(by).agg(F.round(late / F.count(F.lit(1)), digits).alias("late_ratio"))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column (nulls compare equal)."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-    return groups.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"),
-    )
+def row_fingerprint(df: DataFrame) -> list[Column]:
+    """128 bits of a row as two columns; which columns are null counts."""
+    nulls = F.concat(*(F.isnull(name).cast("int").cast("string") for name in df.columns))
+    return [F.xxhash64(F.lit(seed), nulls, *df.columns).alias(f"_print_{seed}") for seed in (1, 2)]
+
+
+def duplicate_rows(df: DataFrame, fingerprint: Callable[[DataFrame], list[Column]] = row_fingerprint) -> DataFrame:
+    """Rows that repeat an earlier row in every column (nulls compare equal).
+
+    What moves is a fingerprint of each row, counted where it is read.  Only rows that share one are compared as a whole,
+    so rows that merely have the same fingerprint do not count.
+    """
+    marked = df.select(*fingerprint(df), *(F.col(name).alias(f"_{k}") for k, name in enumerate(df.columns)))
+    prints = [name for name in marked.columns if name.startswith("_print_")]
+    groups = marked.groupBy(*prints).agg(F.count(F.lit(1)).alias("rows"))
+    shared = measured(groups.filter("rows > 1").drop("rows"))
+    columns = [f"_{k}" for k in range(len(df.columns))]
+    copies = marked.join(shared, prints, "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    repeated = copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("n")).scalar()
+    return df.agg(F.count(F.lit(1)).alias("total_rows"), repeated.alias("duplicate_rows"))
 
 
 def distinct_counts(df: DataFrame, columns: Mapping[str, str], approximate: bool = False) -> DataFrame:
     """Distinct values of several columns in one row; ``columns`` maps output to input names.
 
-    Each column is made distinct on its own, so a row is not expanded once
-    per counted column.  ``approximate`` gives one-pass sketches instead.
+    One scan: each row passes on one (column, value) pair per counted column, pairs are made distinct where they are read
+    and once more after the shuffle, and then counted.  ``approximate`` gives sketches instead.
     """
-    if approximate:
-        return df.agg(*(F.approx_count_distinct(source).alias(name) for name, source in columns.items()))
-    (first, source), *rest = columns.items()
-    base = df.agg(F.countDistinct(source).alias(first))
-    return base.select(
-        first, *(df.agg(F.countDistinct(column)).scalar().alias(name) for name, column in rest)
-    )
+    count = F.approx_count_distinct if approximate else F.countDistinct
+    return df.agg(*(count(source).alias(name) for name, source in columns.items()))
 
 
 def match_rate(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
@@ -197,45 +209,81 @@ def _with_verdict(checks: DataFrame) -> DataFrame:
     return checks.withColumn("ok", F.col("expected").isNull() | F.col("expected").eqNullSafe(F.col("actual")))
 
 
+def manifest_figures() -> dict[str, Column]:
+    """What the storage checks need of the completeness manifest."""
+    return {
+        "days": F.count(F.lit(1)),
+        "complete": F.count_if("is_model_baseline_day"),
+        "partial": F.count_if("is_partial_day"),
+        "cleaned": F.sum("cleaned_rows"),
+        "cleaned_complete": F.coalesce(F.sum(F.when(F.col("is_model_baseline_day"), F.col("cleaned_rows"))), F.lit(0)),
+        "headers": F.coalesce(F.sum("duplicate_header_rows"), F.lit(0)),
+    }
+
+
+def observation_figures(everything: DataFrame) -> dict[str, Column]:
+    """What they need of all observations."""
+    rows = F.count(F.lit(1))
+    return {
+        "rows": rows,
+        "matched": F.count("route_type"),
+        "unnamed": F.count_if(F.col("route_display_name").isNull()),
+        "special": F.count_if(F.coalesce(labels.special_flag(everything), F.lit(False))),
+        "match_bp": F.coalesce(F.round(F.count("route_type") * 10000.0 / F.nullif(rows, F.lit(0))), F.lit(0)),
+        "service_missing": F.count_if(F.col("service_type").isNull()),
+    }
+
+
+def baseline_figures() -> dict[str, Column]:
+    return {"rows": F.count(F.lit(1)), "incomplete": F.count_if(~F.col("is_model_baseline_day"))}
+
+
+def route_daily_figures() -> dict[str, Column]:
+    return {"records": F.coalesce(F.sum("records"), F.lit(0)), "groups": F.count(F.lit(1))}
+
+
+def top_route_figures(top_routes: DataFrame) -> dict[str, Column]:
+    return {"special": F.count_if(F.coalesce(labels.special_flag(top_routes), F.lit(False)))}
+
+
 def storage_validation(
     everything: DataFrame,
     baseline: DataFrame,
     manifest: DataFrame,
     route_daily: DataFrame,
     top_routes: DataFrame,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Checks over the tables of one storage build: (check_name, expected, actual, ok) rows.
 
-    Informational figures have no expected value.  Every table is read once.
+    Informational figures have no expected value.  Every table is read once.  ``files`` has one row per landed file.
     """
-    def counts(df: DataFrame, **aggregates: Column) -> Mapping[str, Column]:
-        one = one_row(df.agg(*(column.cast("bigint").alias(name) for name, column in aggregates.items())))
-        return {name: one[name] for name in aggregates}
+    def counts(df: DataFrame, figures: Mapping[str, Column]) -> dict[str, Column]:
+        one = one_row(df.agg(*(column.cast("bigint").alias(name) for name, column in figures.items())))
+        return {name: one[name] for name in figures}
+
+    days = counts(manifest, manifest_figures())
+    if files is not None:
+        days["files"] = files.agg(F.count(F.lit(1))).scalar()
+    return storage_checks(
+        everything, days, counts(everything, observation_figures(everything)), counts(baseline, baseline_figures()),
+        counts(route_daily, route_daily_figures()), counts(top_routes, top_route_figures(top_routes)),
+    )
 
-    rows = F.count(F.lit(1))
-    flag = F.coalesce(labels.special_flag(everything), F.lit(False))
+
+def storage_checks(
+    everything: DataFrame,
+    days: Mapping[str, Column],
+    facts: Mapping[str, Column],
+    model: Mapping[str, Column],
+    summary: Mapping[str, Column],
+    ranked: Mapping[str, Column],
+) -> DataFrame:
+    """The checks from figures that were counted already, for example while the tables were written.
+
+    Of ``everything`` only the schema is looked at.
+    """
     types = dict(everything.dtypes)
-    days = counts(
-        manifest,
-        files=rows,
-        complete=F.count_if("is_model_baseline_day"),
-        partial=F.count_if("is_partial_day"),
-        cleaned=F.sum("cleaned_rows"),
-        cleaned_complete=F.coalesce(F.sum(F.when(F.col("is_model_baseline_day"), F.col("cleaned_rows"))), F.lit(0)),
-        headers=F.coalesce(F.sum("duplicate_header_rows"), F.lit(0)),
-    )
-    facts = counts(
-        everything,
-        rows=rows,
-        matched=F.count("route_type"),
-        unnamed=F.count_if(F.col("route_display_name").isNull()),
-        special=F.count_if(flag),
-        match_bp=F.coalesce(F.round(F.count("route_type") * 10000.0 / F.nullif(rows, F.lit(0))), F.lit(0)),
-        service_missing=F.count_if(F.col("service_type").isNull()),
-    )
-    model = counts(baseline, rows=rows, incomplete=F.count_if(~F.col("is_model_baseline_day")))
-    summary = counts(route_daily, records=F.coalesce(F.sum("records"), F.lit(0)), groups=rows)
-    ranked = counts(top_routes, special=F.count_if(F.coalesce(labels.special_flag(top_routes), F.lit(False))))
 
     def fixed(value: int | bool) -> Column:
         return F.lit(int(value)).cast("bigint")
@@ -255,8 +303,8 @@ def storage_validation(
         ("service_type_missing_rows", fixed(0), facts["service_missing"]),
         ("route_display_name_missing_rows", fixed(0), facts["unnamed"]),
         ("top_routes_special_rows", fixed(0), ranked["special"]),
-        ("days_complete_plus_partial", days["files"], days["complete"] + days["partial"]),
-        ("daily_files", nothing, days["files"]),
+        ("days_complete_plus_partial", days["days"], days["complete"] + days["partial"]),
+        ("daily_files", nothing, days.get("files", days["days"])),
         ("complete_days", nothing, days["complete"]),
         ("partial_days", nothing, days["partial"]),
         ("duplicate_header_rows", nothing, days["headers"]),
