@@ -8,6 +8,7 @@ pass over the blocks hands the last value of a block to the next.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -31,37 +32,48 @@ def hourly_grid(series: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return bounds.select(*by, F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias("hour"))
 
 
-def _carried(df: DataFrame, value: Column, order: str, by: Sequence[str], name: str, forward: bool) -> DataFrame:
-    """Add ``name``: the nearest earlier (or later) non-null ``value`` in time, this row included."""
+@dataclass(frozen=True)
+class Carry:
+    """A new column ``name``: the nearest earlier (or later) non-null ``value`` in time, this row included."""
+
+    name: str
+    value: Column
+    forward: bool = True
+
+
+def _carried(df: DataFrame, carries: Sequence[Carry], order: str, by: Sequence[str]) -> DataFrame:
+    """Add every carried column in one pass: one window inside blocks, one hand-over between them.
+
+    All values share the sort of a block, whichever direction they are carried in.  A block's edge state is one row with
+    the first and last known value of each column, and one join hands the states of the other blocks in.
+    """
     block = "_block"
-    pick = F.last if forward else F.first
-    inside = W.partitionBy(*by, block).orderBy(order)
-    across = W.partitionBy(*by).orderBy(block)
-    if forward:
-        inside = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-        across = across.rowsBetween(W.unboundedPreceding, -1)
-    else:
-        inside = inside.rowsBetween(W.currentRow, W.unboundedFollowing)
-        across = across.rowsBetween(1, W.unboundedFollowing)
-    source = df.withColumn(block, F.date_trunc("month", order)).withColumn("_value", value)
-    edge = F.max_by if forward else F.min_by
-    blocks = source.groupBy(*by, block).agg(
-        edge("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_edge")
-    )
-    handed = blocks.select(*by, block, pick("_edge", ignorenulls=True).over(across).alias("_handed"))
-    within = source.withColumn("_within", pick("_value", ignorenulls=True).over(inside))
+    inside, across = W.partitionBy(*by, block).orderBy(order), W.partitionBy(*by).orderBy(block)
+    earlier = (inside.rowsBetween(W.unboundedPreceding, W.currentRow), across.rowsBetween(W.unboundedPreceding, -1))
+    later = (inside.rowsBetween(W.currentRow, W.unboundedFollowing), across.rowsBetween(1, W.unboundedFollowing))
+    numbered = list(enumerate(carries))
+    source = df.withColumn(block, F.date_trunc("month", order)).withColumns({f"_value{k}": c.value for k, c in numbered})
+
+    def edge(k: int, carry: Carry) -> Column:
+        pick = F.max_by if carry.forward else F.min_by
+        return pick(f"_value{k}", F.when(F.col(f"_value{k}").isNotNull(), F.col(order)))
+
+    def nearest(column: str, carry: Carry, place: int) -> Column:
+        frame = (earlier if carry.forward else later)[place]
+        return (F.last if carry.forward else F.first)(column, ignorenulls=True).over(frame)
+
+    states = source.groupBy(*by, block).agg(*(edge(k, c).alias(f"_edge{k}") for k, c in numbered))
+    handed = states.select(*by, block, *(nearest(f"_edge{k}", c, 1).alias(f"_handed{k}") for k, c in numbered))
+    within = source.withColumns({f"_within{k}": nearest(f"_value{k}", c, 0) for k, c in numbered})
     joined = within.join(handed, [*by, block], "left")
-    return joined.withColumn(name, F.coalesce("_within", "_handed")).drop(block, "_value", "_within", "_handed")
+    carried = {c.name: F.coalesce(f"_within{k}", f"_handed{k}") for k, c in numbered}
+    kept = [name for name in df.columns if name not in carried]
+    return joined.select(*kept, *(value.alias(name) for name, value in carried.items()))
 
 
 def forward_fill(df: DataFrame, columns: Sequence[str], order: str = "weather_hour", by: Sequence[str] = ()) -> DataFrame:
     """Replace nulls by the last known earlier value of the column."""
-    names = df.columns
-    for column in columns:
-        filled = f"_filled_{column}"
-        df = _carried(df, F.col(column), order, by, filled, forward=True)
-        df = df.withColumn(column, F.col(filled)).drop(filled)
-    return df.select(*names)
+    return _carried(df, [Carry(column, F.col(column)) for column in columns], order, by).select(*df.columns)
 
 
 def interpolate_hourly(series: DataFrame, value: str = "mean_delay", by: Sequence[str] = ()) -> DataFrame:
@@ -69,8 +81,7 @@ def interpolate_hourly(series: DataFrame, value: str = "mean_delay", by: Sequenc
     keys = [*by, "hour"]
     grid = hourly_grid(series, by).join(series.select(*keys, value), keys, "left")
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("hour").alias("at"), F.col(value).alias("v")))
-    grid = _carried(grid, known, "hour", by, "_before", forward=True)
-    grid = _carried(grid, known, "hour", by, "_after", forward=False)
+    grid = _carried(grid, [Carry("_before", known), Carry("_after", known, forward=False)], "hour", by)
     at = F.unix_seconds("hour")
     lo, hi = F.unix_seconds("_before.at"), F.unix_seconds("_after.at")
     line = F.col("_before.v") + (F.col("_after.v") - F.col("_before.v")) * (at - lo) / F.nullif(hi - lo, F.lit(0))
