@@ -5,9 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -38,32 +37,13 @@ REGRESSOR = TreeSettings(trees=180)
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """A fitted encoding and the tree pipeline behind it."""
+    """A fitted encoding and the trees behind it."""
 
     encoding: FittedEncoding
-    pipeline: PipelineModel
+    trees: Model
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.pipeline.transform(self.encoding.apply(df))
-
-    def feature_names(self, scored: DataFrame) -> list[str]:
-        groups = scored.schema["features"].metadata["ml_attr"]["attrs"]
-        named = sorted((item["idx"], item["name"]) for group in groups.values() for item in group)
-        return [name.replace("_onehot_", "_", 1) for _, name in named]
-
-
-def _stages(encoding: FittedEncoding) -> list:
-    """Index and one-hot the buckets; unseen categories become the all-zero vector."""
-    buckets = [f"{name}_bucket" for name in encoding.columns]
-    indexed = [f"{name}_index" for name in encoding.columns]
-    encoded = list(encoding.columns)
-    one_hot = [f"{name}_onehot" for name in encoded]
-    return [
-        StringIndexer(inputCols=buckets, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        # StringIndexer puts null and unseen buckets last, and the encoder drops exactly that place.
-        OneHotEncoder(inputCols=indexed, outputCols=one_hot, dropLast=True),
-        VectorAssembler(inputCols=[*encoding.numbers, *one_hot], outputCol="features"),
-    ]
+        return self.trees.transform(self.encoding.encode(df))
 
 
 def _booster(kind, settings: TreeSettings, **columns):
@@ -82,17 +62,16 @@ def _booster(kind, settings: TreeSettings, **columns):
 
 
 def _fit(prepared: DataFrame, encoding: FittedEncoding, booster) -> TrainedModel:
-    """Fit the stages over one stored copy of the columns they read.
+    """Fit the trees over one stored copy of the columns they read.
 
-    Indexing and every boosting round pass over the same rows; the copy spills
-    to disk, is rebuilt from the training table if an executor is lost, and is
-    released afterwards.
+    Every boosting round passes over the same rows; the copy spills to disk,
+    is rebuilt from the training table if an executor is lost, and is released
+    afterwards.
     """
-    wanted = [*(f"{name}_bucket" for name in encoding.columns), *encoding.numbers]
     extra = [name for name in ("label", "weight") if name in prepared.columns]
-    stored = prepared.select(*wanted, *extra).persist(StorageLevel.MEMORY_AND_DISK)
+    stored = encoding.assemble(prepared).select("features", *extra).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return TrainedModel(encoding, Pipeline(stages=[*_stages(encoding), booster]).fit(stored))
+        return TrainedModel(encoding, booster.fit(stored))
     finally:
         stored.unpersist()
 
@@ -122,35 +101,45 @@ def train_regressor(
     return _fit(prepared, encoding, _booster(GBTRegressor, settings, labelCol="label"))
 
 
+def _with_class(model: TrainedModel, encoded: DataFrame) -> DataFrame:
+    return (
+        model.trees.transform(encoded)
+        .withColumn("predicted_actionable_delay_risk", F.col("prediction").cast("int"))
+        .withColumn("predicted_actionable_probability", vector_to_array("probability")[1])
+        .drop("rawPrediction", "probability", "prediction")
+    )
+
+
+def _with_delay(model: TrainedModel, encoded: DataFrame) -> DataFrame:
+    return model.trees.transform(encoded).withColumnRenamed("prediction", "predicted_delay_minutes")
+
+
 def score_class(model: TrainedModel, df: DataFrame) -> DataFrame:
     """Add the predicted class and the probability of the actionable class; keep the input columns."""
-    scored = model.transform(df)
-    kept = [scored[name] for name in df.columns if name not in schemas.FEATURES]
-    return scored.select(
-        *kept,
-        *(name for name in df.columns if name in schemas.FEATURES),
-        F.col("prediction").cast("int").alias("predicted_actionable_delay_risk"),
-        vector_to_array("probability")[1].alias("predicted_actionable_probability"),
-    )
+    scored = _with_class(model, model.encoding.encode(df))
+    return scored.select(*df.columns, "predicted_actionable_delay_risk", "predicted_actionable_probability")
 
 
 def score_delay(model: TrainedModel, df: DataFrame) -> DataFrame:
-    scored = model.transform(df)
-    return scored.select(*df.columns, F.col("prediction").alias("predicted_delay_minutes"))
+    return _with_delay(model, model.encoding.encode(df)).select(*df.columns, "predicted_delay_minutes")
 
 
 def score(classifier: TrainedModel, regressor: TrainedModel, df: DataFrame) -> DataFrame:
-    """Class, probability and delay for every row."""
-    return score_delay(regressor, score_class(classifier, df))
+    """Class, probability and delay for every row; models with one encoding share the encoded row."""
+    if classifier.encoding is not regressor.encoding:
+        return score_delay(regressor, score_class(classifier, df))
+    scored = _with_delay(regressor, _with_class(classifier, classifier.encoding.encode(df)))
+    outputs = [name for name in schemas.PREDICTION_OUTPUTS if name.startswith("predicted_")]
+    return scored.select(*df.columns, *outputs)
 
 
 def model_importance(model: TrainedModel, sample: DataFrame, source: str) -> DataFrame:
     """Gain importance of every encoded feature, in long form."""
-    names = model.feature_names(model.transform(sample.limit(0)))
-    values = model.pipeline.stages[-1].featureImportances.toArray()
+    names = model.encoding.feature_names()
+    values = model.trees.featureImportances.toArray()
     rows = [
         (source, "gbt_feature_importance", name, float(value),
-         "Model-native feature importance from the fitted boosted trees.")
+         "Gain of the splits on this feature, summed over all trees.")
         for name, value in zip(names, values)
     ]
     return sample.sparkSession.createDataFrame(rows, schemas.IMPORTANCE_LONG)
