@@ -48,11 +48,12 @@ def completeness_manifest(
     complete_days: Collection[str] = (),
     notes: Mapping[str, str] | None = None,
     min_coverage_hours: float | None = None,
+    with_files: bool = False,
 ) -> DataFrame:
     """One row per collection day.
 
     A day is complete when it is listed, or, with ``min_coverage_hours``, when
-    it spans at least that many hours.
+    it spans at least that many hours.  ``with_files`` adds ``daily_files``, the landed files of the day.
     """
     daily = _day_grain(
         obs,
@@ -84,11 +85,12 @@ def completeness_manifest(
                 "raw_csv_rows": F.lit(None).cast("bigint"),
                 "duplicate_header_rows": F.lit(None).cast("bigint"),
                 "source_file": F.lit(None).cast("string"),
+                "daily_files": F.lit(None).cast("bigint"),
             }
         )
     else:
         flagged = attach_file_stats(flagged, file_stats)
-    return flagged.select(*schemas.MANIFEST_COLUMNS)
+    return flagged.select(*schemas.MANIFEST_COLUMNS, *(name for name in ("daily_files",) if with_files))
 
 
 def daily_summary(obs: DataFrame) -> DataFrame:
@@ -379,10 +381,11 @@ def action_totals(decision_counts: DataFrame) -> DataFrame:
     )
 
 
-def storage_counters(obs: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Row and day counters of one storage build, as one row."""
+def storage_counters(obs: DataFrame, manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """Row, file and day counters of one storage build, as one row; ``files`` has one row per landed file."""
+    landed = files.agg(F.count(F.lit(1))).scalar()
     days = manifest.agg(
-        F.count(F.lit(1)).alias("daily_files"),
+        landed.alias("daily_files"),
         F.sum("raw_csv_rows").alias("raw_csv_rows"),
         F.sum("duplicate_header_rows").alias("duplicate_header_rows"),
         F.count_if("is_model_baseline_day").alias("complete_days"),

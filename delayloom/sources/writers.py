@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import Any, Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from delayloom import schemas
@@ -19,21 +21,37 @@ def by_day(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "collection_date")
 
 
-def write_daily_table(df: DataFrame, path: str, mode: str = "overwrite", cluster_by: str = "route_id") -> None:
-    """Parquet partitioned by the text date, so a day filter reads one folder.
+def observed(df: DataFrame, figures: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """Rows that are counted while they are written, and where the figures arrive.
+
+    Put this last before the write: figures taken before a shuffle would count the rows of a lost and repeated task twice,
+    those of the writing stage count each partition once.
+    """
+    seen = Observation()
+    wanted = figures or {"rows": F.count(F.lit(1))}
+    return df.observe(seen, *(column.alias(name) for name, column in wanted.items())), seen
+
+
+def write_daily_table(
+    df: DataFrame, path: str, mode: str = "overwrite", cluster_by: str = "route_id",
+    figures: Mapping[str, Column] | None = None,
+) -> dict[str, Any]:
+    """Parquet partitioned by the text date, so a day filter reads one folder; returns figures of the written rows.
 
     Files are ordered by route, so a query about one route skips most row
     groups.  ``overwrite`` replaces only the days present in ``df``.
     """
     order = ["collection_date", *([cluster_by] if cluster_by in df.columns else [])]
-    (
-        by_day(df)
-        .sortWithinPartitions(*order)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("collection_date")
-        .parquet(path)
-    )
+    counted, seen = observed(by_day(df).sortWithinPartitions(*order), figures)
+    counted.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("collection_date").parquet(path)
+    return seen.get
+
+
+def write_table(df: DataFrame, path: str, figures: Mapping[str, Column] | None = None) -> dict[str, Any]:
+    """Replace a Parquet table; returns figures of the written rows."""
+    counted, seen = observed(df, figures)
+    counted.write.mode("overwrite").parquet(path)
+    return seen.get
 
 
 def read_daily_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
@@ -57,30 +75,36 @@ def split_log_by_day(spark: SparkSession, source: str, target: str, overwrite: b
     writer.option("partitionOverwriteMode", "dynamic").options(**CSV_OPTIONS).partitionBy("collection_date").csv(target)
 
 
-def write_baseline_tables(obs: DataFrame, all_path: str, baseline_path: str) -> None:
-    """The all-file observation table and its model-baseline subset, read back from the first."""
+def write_baseline_tables(
+    obs: DataFrame,
+    all_path: str,
+    baseline_path: str,
+    figures: Mapping[str, Column] | None = None,
+    baseline_figures: Mapping[str, Column] | None = None,
+) -> tuple[dict[str, Any], dict[str, Any]]:
+    """The all-file observation table and its model-baseline subset, read back from the first; figures of both."""
     require_columns(obs, schemas.CLEAN_COLUMNS, "observation")
-    write_daily_table(obs.select(*schemas.CLEAN_COLUMNS), all_path)
+    everything = write_daily_table(obs.select(*schemas.CLEAN_COLUMNS), all_path, figures=figures)
     stored = read_daily_table(obs.sparkSession, all_path, schemas.CLEAN_COLUMNS)
-    write_daily_table(baseline_only(stored), baseline_path)
+    return everything, write_daily_table(baseline_only(stored), baseline_path, figures=baseline_figures)
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str) -> int:
     """Convert a decision CSV to typed Parquet; returns the rows written."""
     text = spark.read.option("header", True).csv(csv_path)
     require_columns(text, schemas.DASHBOARD_REQUIRED, "dashboard")
-    normalize_decision_types(text).write.mode("overwrite").parquet(parquet_path)
-    return spark.read.parquet(parquet_path).count()
+    return write_table(normalize_decision_types(text), parquet_path)["rows"]
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
-    """Write a result as CSV with a header and return its rows, read back.
+    """Write a result as CSV with a header and return the rows written.
 
     ``single_file`` is for small summaries only: it sends the result through
     one task.
     """
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
-    return df.sparkSession.read.option("header", True).csv(path).count()
+    counted, seen = observed(df.coalesce(1) if single_file else df)
+    counted.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    return seen.get["rows"]
 
 
 def write_predictions(full: DataFrame, test: DataFrame, full_path: str, test_path: str) -> None:
