@@ -72,3 +72,39 @@ def test_micro_batches_reach_the_sink(spark, tmp_path):
     land(src, "a.json", "2026-05-11T08:20:00Z", ("1", 1, 1200.0, "r"))
     feeds.write_stream(feeds.stream_snapshots(spark, str(src)), str(tmp_path / "s"), lambda df, n: seen.append(df.count())).awaitTermination()
     assert sum(seen) == 1
+
+
+def hourly_rows(df):
+    return {(str(r.hour), r.route_id, r.records, r.avg_delay_minutes, r.max_delay_seconds) for r in df.collect()}
+
+
+def test_hours_are_upserted_and_state_is_dropped(spark, tmp_path):
+    src, table, state = tmp_path / "in", str(tmp_path / "hours"), str(tmp_path / "state")
+    sizes = []
+    for hour in range(8):
+        entities = [(str(k), 1, 60.0 * k, None if k == 3 else f"r{k}") for k in range(4)]
+        land(src, f"{hour}a.json", f"2026-05-11T{hour:02}:10:00Z", *entities)
+        query = feeds.keep_hourly_delay(feeds.stream_snapshots(spark, str(src)), table, state)
+        query.awaitTermination()
+        land(src, f"{hour}b.json", f"2026-05-11T{hour:02}:40:00Z", ("9", 1, 600.0, "r1"))  # changes one row of the hour
+        query = feeds.keep_hourly_delay(feeds.stream_snapshots(spark, str(src)), table, state)
+        query.awaitTermination()
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        batch = readers.read_snapshots(spark, str(src))
+        rows = feeds.hourly_delay(batch)
+        assert hourly_rows(feeds.read_hours(spark, table, rows.schema)) == hourly_rows(rows)
+    assert len(hourly_rows(rows)) == 32 and max(sizes) <= 12  # hours behind the watermark are in the table only
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    table = str(tmp_path / "hours")
+    ddl = "hour timestamp, route_id string, records long, avg_delay_minutes double, max_delay_seconds double"
+    row = lambda hour, route, records: spark.createDataFrame([(f"2026-05-11 {hour}:00:00", route, records)], "t string, route_id string, records long").select(
+        F.col("t").cast("timestamp").alias("hour"), "route_id", "records", F.lit(1.0).alias("avg_delay_minutes"), F.lit(2.0).alias("max_delay_seconds"))
+    schema = spark.createDataFrame([], ddl).schema
+    sink = feeds.upsert_hours(spark, table, schema)
+    sink(row("08", "a", 1).union(row("08", None, 1)).union(row("09", "a", 5)), 0)
+    for _ in range(2):  # the second time as after a failure
+        sink(row("08", "a", 2).union(row("08", None, 3)), 1)
+    found = {(r.hour.hour, r.route_id, r.records) for r in feeds.read_hours(spark, table, schema).collect()}
+    assert found == {(8, "a", 2), (8, None, 3), (9, "a", 5)} and feeds.read_hours(spark, table, schema).count() == 3
