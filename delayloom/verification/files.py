@@ -10,13 +10,14 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delayloom import schemas
+from delayloom import rules, schemas
 from delayloom.functions import labels
-from delayloom.operators import enrich, summaries
+from delayloom.operators import enrich, model_prep, quality, scenario, summaries
+from delayloom.plans.storage_build import build_storage
 from delayloom.session import ensure_checkpoint_dir
-from delayloom.sources import readers, writers
+from delayloom.sources import readers, views, writers
 from delayloom.streaming import feeds
-from delayloom.verification.fixtures import COMPLETE_DAYS, PARTIAL_DAY_NOTES, DriverTables
+from delayloom.verification.fixtures import COMPLETE_DAYS, PARTIAL_DAY_NOTES, DriverTables, scenario_steps, scenario_trips
 
 _EXPORTED = ("route_id", "trip_id", "trip_hour", *schemas.DASHBOARD_REQUIRED)
 
@@ -188,6 +189,126 @@ def stream_labels(d: DriverTables) -> DataFrame:
     return d.spark.read.schema(rows.schema).parquet(f"{folder}/rows").drop("collection_time_utc")
 
 
+def _view_sources(d: DriverTables) -> dict[str, DataFrame]:
+    baseline = d.storage.filter("is_model_baseline_day")
+    return {
+        "realtime_all": d.storage,
+        "realtime_model_baseline": baseline,
+        "decision_engine_model_baseline": d.decisions.filter("is_model_baseline_day"),
+        "decision_engine_all_file": d.decisions,
+        "route_daily_summary": d.route_daily,
+        "collection_completeness": d.manifest,
+    }
+
+
+def _registered(d: DriverTables) -> dict[str, DataFrame]:
+    """The published tables written as files and registered as views of the session."""
+    folder = new_folder(d, "views")
+    for name, source in _view_sources(d).items():
+        writer = source.write.option("header", True).options(**writers.CSV_OPTIONS)
+        getattr(writer, views.VIEW_FORMATS[name])(f"{folder}/{name}")
+    return views.register_views(d.spark, {name: f"{folder}/{name}" for name in views.VIEW_FORMATS})
+
+
+def view_validation(d: DriverTables) -> DataFrame:
+    """Every view against the table it was written from; two columns that no view has are asked for."""
+    _registered(d)
+    required = {"realtime_all": ["route_id", "platform"], "collection_completeness": ["collection_date", "weekday"]}
+    return quality.view_validation(d.spark, _view_sources(d), required)
+
+
+def view_records(d: DriverTables) -> DataFrame:
+    """The registered views joined in SQL: records of each complete day in three of them."""
+    _registered(d)
+    return d.spark.sql("""
+        SELECT CAST(c.collection_date AS STRING) AS collection_date, c.cleaned_rows, r.records, b.baseline_rows
+        FROM collection_completeness c
+        JOIN (SELECT collection_date, SUM(records) AS records FROM route_daily_summary GROUP BY collection_date) r
+            ON r.collection_date = c.collection_date
+        LEFT JOIN (SELECT collection_date, COUNT(*) AS baseline_rows FROM realtime_model_baseline GROUP BY collection_date) b
+            ON b.collection_date = c.collection_date""")
+
+
+def weather_file(d: DriverTables) -> DataFrame:
+    """Hourly weather landed as one document of column arrays and read back."""
+    folder = new_folder(d, "weather")
+    hour = F.date_format("weather_hour", "yyyy-MM-dd'T'HH:mm").alias("time")
+    hours = F.sort_array(F.collect_list(F.struct(hour, *rules.WEATHER_COLUMNS)))  # one entry per calendar hour
+    arrays = [F.col(f"hours.{name}").alias(name) for name in ("time", *rules.WEATHER_COLUMNS)]
+    document = d.weather.agg(hours.alias("hours")).select(F.to_json(F.struct(F.struct(*arrays).alias("hourly"))).alias("value"))
+    document.write.text(folder)
+    rows = readers.read_weather_source(d.spark, folder)
+    return rows.select(F.date_format("weather_hour", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("weather_hour"), *rules.WEATHER_COLUMNS)
+
+
+def _scenario_files(d: DriverTables, rows: DataFrame, tags: tuple[str, str], attributes: dict[str, str]) -> dict[str, str]:
+    """Rows of each scenario as the attributes of XML elements; the folder of each."""
+    folder = new_folder(d, tags[0])
+    names = [rules.SCENARIO_BASELINE, rules.SCENARIO_DISRUPTION, rules.SCENARIO_INTERVENTION]
+    for k, name in enumerate(names):
+        own = rows.filter(F.col("scenario_name") == name).select(
+            *(F.col(column).cast("string").alias(f"_{attribute}") for attribute, column in attributes.items()))
+        own.write.format("xml").option("rootTag", tags[0]).option("rowTag", tags[1]).save(f"{folder}/{k}")
+    return {name: f"{folder}/{k}" for k, name in enumerate(names)}
+
+
+def scenario_trips_file(d: DriverTables) -> DataFrame:
+    """Metrics over scenario trips read from XML."""
+    trips = scenario_trips(d)
+    paths = _scenario_files(d, trips, ("tripinfos", "tripinfo"), {
+        "duration": "duration_sec", "timeLoss": "time_loss_sec", "waitingTime": "waiting_time_sec"})
+    return scenario.scenario_trip_metrics(readers.read_scenarios(d.spark, paths, "trips"))
+
+
+def scenario_steps_file(d: DriverTables) -> DataFrame:
+    """The last step of each scenario read from XML."""
+    paths = _scenario_files(d, scenario_steps(d), ("summary", "step"), {
+        "time": "time_sec", "loaded": "loaded", "inserted": "inserted", "ended": "ended", "arrived": "arrived",
+        "halting": "halting", "meanTravelTime": "mean_travel_time_sec", "meanSpeed": "mean_speed"})
+    return scenario.scenario_last_step(readers.read_scenarios(d.spark, paths, "steps"))
+
+
+def stored_predictions(d: DriverTables) -> DataFrame:
+    """All predictions and those of the test days, as stored by day: records and probability per day."""
+    full, test = new_folder(d, "predictions"), new_folder(d, "predictions-test")
+    test_days = model_prep.split_dates(d.ai).filter("is_test")
+    writers.write_predictions(d.ai, enrich.semi_by_dates(d.ai, test_days), full, test)
+    stored = [
+        writers.read_daily_table(d.spark, path).groupBy("collection_date").agg(
+            F.count(F.lit(1)).alias("records"),
+            F.sum(F.col("predicted_actionable_probability").cast("decimal(18,3)")).cast("double").alias("probability"),
+        ).withColumn("stored", F.lit(name))
+        for name, path in (("full", full), ("test", test))
+    ]
+    return stored[0].unionByName(stored[1])
+
+
+def stored_samples(d: DriverTables) -> DataFrame:
+    """The earliest rows exported as one CSV, twice: the sample of predictions and the head of the decisions."""
+    frames = []
+    for name, write in (("sample", writers.write_sample), ("head", writers.export_head)):
+        folder = new_folder(d, name)
+        rows = d.integrated.select("collection_time_utc", "route_id", "trip_id", "entity_id")
+        written = write(rows, folder)
+        back = d.spark.read.option("header", True).csv(folder)
+        when = F.date_format(F.col("collection_time_utc").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        frames.append(back.select(F.lit(name).alias("stored"), when.alias("collection_time_utc"), "route_id", "trip_id",
+                                  "entity_id", F.lit(written).cast("bigint").alias("written")))
+    return frames[0].unionByName(frames[1])
+
+
+def storage_build(d: DriverTables) -> DataFrame:
+    """The whole storage build over landed logs, two files a day, and its validation."""
+    folder = new_folder(d, "build")
+    for part in (0, 1):
+        half = _landed(d).filter(F.pmod(F.hash("entity_id", "timestamp"), F.lit(2)) == part)
+        half.repartition("collection_date").write.mode("append").option("header", True).partitionBy("collection_date").csv(
+            f"{folder}/logs")
+    d.routes.write.option("header", True).csv(f"{folder}/schedule/routes.txt")
+    checks = build_storage(d.spark, f"{folder}/logs", f"{folder}/schedule", f"{folder}/tables", COMPLETE_DAYS, PARTIAL_DAY_NOTES)
+    return checks
+
+
 FILE_QUERIES = {
     "append_daily": append_daily,
     "daily_logs": daily_logs,
@@ -203,4 +324,12 @@ FILE_QUERIES = {
     "stream_append": stream_append,
     "stream_dedupe": stream_dedupe,
     "stream_labels": stream_labels,
+    "view_validation": view_validation,
+    "view_records": view_records,
+    "weather_file": weather_file,
+    "scenario_trips_file": scenario_trips_file,
+    "scenario_steps_file": scenario_steps_file,
+    "stored_predictions": stored_predictions,
+    "stored_samples": stored_samples,
+    "storage_build": storage_build,
 }

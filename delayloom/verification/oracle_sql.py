@@ -692,7 +692,7 @@ _BODIES = {
             (SELECT recommended_action FROM decisions GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)]) AS value FROM decisions""",
     "storage_counters": """SELECT COUNT(*) AS cleaned_rows, COUNT(*) FILTER (WHERE is_model_baseline_day) AS model_baseline_rows,
         COUNT(*) FILTER (WHERE abs(delay_minutes) > 120) AS delay_outliers_abs_gt_120,
-        (SELECT COUNT(*) FROM manifest) AS daily_files, (SELECT CAST(SUM(raw_csv_rows) AS BIGINT) FROM manifest) AS raw_csv_rows,
+        (SELECT COUNT(*) FROM file_stats) AS daily_files, (SELECT CAST(SUM(raw_csv_rows) AS BIGINT) FROM manifest) AS raw_csv_rows,
         (SELECT CAST(SUM(duplicate_header_rows) AS BIGINT) FROM manifest) AS duplicate_header_rows,
         (SELECT COUNT(*) FILTER (WHERE is_model_baseline_day) FROM manifest) AS complete_days,
         (SELECT COUNT(*) FILTER (WHERE is_partial_day) FROM manifest) AS partial_days FROM storage""",
@@ -790,7 +790,7 @@ _BODIES = {
         {_pct('COUNT(temperature_2m)', 'COUNT(*)')} AS match_pct FROM decisions""",
     "late_ratio": f"""SELECT route_short_name, {_r('CAST(COUNT(*) FILTER (WHERE delay_minutes > 0) AS DOUBLE) / COUNT(*)', 6)} AS late_ratio
         FROM with_mode GROUP BY 1""",
-    "mean_delay": f"SELECT transport_mode, {_r(_mean('delay_seconds'), 6)} AS mean_delay FROM with_mode GROUP BY 1",
+    "mean_delay": f"SELECT transport_mode, {_r(_mean(_SECONDS), 6)} AS mean_delay FROM with_mode GROUP BY 1",
     "median_delay": f"""SELECT transport_mode, {_r('quantile_cont(delay_seconds, 0.5)', 6)} AS median_delay_seconds
         FROM with_mode GROUP BY 1""",
     "box_stats": f"""SELECT transport_mode, "count", "min", q25, median, q75, "max" FROM (
@@ -798,7 +798,7 @@ _BODIES = {
     "storage_validation": f"""WITH f AS (SELECT COUNT(*) AS n, COUNT(route_type) AS matched, COUNT(*) FILTER (WHERE is_special_route) AS special,
             COUNT(*) FILTER (WHERE is_model_baseline_day) AS base FROM storage),
         g AS (SELECT COUNT(*) AS groups, CAST(SUM(records) AS BIGINT) AS records FROM route_daily),
-        d AS (SELECT COUNT(*) AS files, COUNT(*) FILTER (WHERE is_model_baseline_day) AS complete,
+        d AS (SELECT COUNT(*) AS days, (SELECT COUNT(*) FROM file_stats) AS files, COUNT(*) FILTER (WHERE is_model_baseline_day) AS complete,
             COUNT(*) FILTER (WHERE is_partial_day) AS part, CAST(SUM(duplicate_header_rows) AS BIGINT) AS headers FROM manifest)
         SELECT check_name, expected, actual, COALESCE(expected = actual, TRUE) AS ok FROM (
             SELECT unnest(['all_rows_match_manifest', 'baseline_rows_match_manifest', 'baseline_rows_on_partial_days',
@@ -807,7 +807,7 @@ _BODIES = {
                 'route_display_name_missing_rows', 'top_routes_special_rows', 'days_complete_plus_partial', 'daily_files',
                 'complete_days', 'partial_days', 'duplicate_header_rows', 'route_metadata_matched_rows',
                 'route_metadata_match_basis_points', 's_prefix_rows_flagged', 'route_summary_rows']) AS check_name,
-            unnest([n, base, 0, n, 1, 1, 1, 1, 1, 1, 0, 0, 0, files, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL]) AS expected,
+            unnest([n, base, 0, n, 1, 1, 1, 1, 1, 1, 0, 0, 0, days, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL]) AS expected,
             unnest([n, base, 0, records, 1, 1, 1, 1, 1, 1, 0, 0, 0, complete + part, files, complete, part, headers, matched,
                 CAST({_r('CAST(matched AS DOUBLE) * 10000.0 / n', 0)} AS BIGINT), special, groups]) AS actual FROM f, g, d)""",
     "probability_domain": """SELECT COUNT(*) AS records, COUNT(*) FILTER (WHERE predicted_actionable_probability IS NULL) AS null_rows,
@@ -829,7 +829,7 @@ _BODIES = {
     "min_max_normalise": f"""SELECT feature, notes, importance AS "value", {_r('(importance - lo) / CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END', 6)} AS value_norm
         FROM (SELECT *, MIN(importance) OVER (PARTITION BY feature) AS lo, MAX(importance) OVER (PARTITION BY feature) AS hi FROM importance)""",
     "hourly_interpolated": f"""SELECT {_HOUR_TEXT}, {_r('mean_delay', 6)} AS mean_delay
-        FROM {_hourly("(SELECT * FROM decisions WHERE delay_risk = 'Severe')")}""",
+        FROM {_hourly("decisions")}""",
     "forward_fill": f"""SELECT {_FULL_TIME.format('g.hour')} AS weather_hour, {', '.join(
         f"{_r(f'last_value({c} IGNORE NULLS) OVER past', 6)} AS {c}" for c in rules.WEATHER_COLUMNS)}
         FROM (SELECT unnest(generate_series(MIN(h), MAX(h), INTERVAL 1 HOUR)) AS hour
@@ -901,6 +901,71 @@ _BODIES = {
     "scenario_stats": f"""SELECT {_r('AVG(actual_arrival_delay_min)', 6)} AS mean_actual_arrival_delay_min,
         MAX(actual_arrival_delay_min) AS max_actual_arrival_delay_min, {_r('AVG(traffic_congestion_index)', 6)} AS mean_traffic_congestion_index,
         CAST(MAX(traffic_congestion_index) AS BIGINT) AS max_traffic_congestion_index FROM cases WHERE route_id = '{FOCUS_BUS_ROUTE}'""",
+    "storage_build": f"""WITH kept AS (SELECT o.collection_date, o.route_id, m.route_type, o.collection_date IN ({_list(COMPLETE_DAYS)}) AS is_complete
+            FROM obs o LEFT JOIN metadata m USING (route_id) WHERE event_id % 251 <> 0),
+        f AS (SELECT COUNT(*) AS n, COUNT(route_type) AS matched, COUNT(*) FILTER (WHERE starts_with(upper(route_id), 'S')) AS special,
+            COUNT(*) FILTER (WHERE is_complete) AS base, COUNT(DISTINCT (collection_date, route_id)) AS groups,
+            COUNT(DISTINCT collection_date) AS days, COUNT(DISTINCT collection_date) FILTER (WHERE is_complete) AS complete FROM kept),
+        h AS (SELECT COUNT(*) AS headers FROM obs WHERE event_id % 251 = 0)
+        SELECT check_name, expected, actual, COALESCE(expected = actual, TRUE) AS ok FROM (
+            SELECT unnest(['all_rows_match_manifest', 'baseline_rows_match_manifest', 'baseline_rows_on_partial_days',
+                'route_summary_records', 'columns_match', 'delay_minutes_numeric', 'collection_time_is_timestamp',
+                'service_type_present', 'route_display_name_present', 'is_special_route_present', 'service_type_missing_rows',
+                'route_display_name_missing_rows', 'top_routes_special_rows', 'days_complete_plus_partial', 'daily_files',
+                'complete_days', 'partial_days', 'duplicate_header_rows', 'route_metadata_matched_rows',
+                'route_metadata_match_basis_points', 's_prefix_rows_flagged', 'route_summary_rows']) AS check_name,
+            unnest([n, base, 0, n, 1, 1, 1, 1, 1, 1, 0, 0, 0, days, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL]) AS expected,
+            unnest([n, base, 0, n, 1, 1, 1, 1, 1, 1, 0, 0, 0, days, 2 * days, complete, days - complete, headers, matched,
+                CAST({_r('CAST(matched AS DOUBLE) * 10000.0 / n', 0)} AS BIGINT), special, groups]) AS actual FROM f, h)""",
+    "clean_names": "SELECT route_id, agency_id, route_short_name, route_long_name, route_type FROM routes",
+    "realtime_types": f"""SELECT {_FULL_TIME.format('collection_time_utc')} AS collection_time_utc, entity_id, direction_id, feed_time AS "timestamp",
+        delay_seconds, {_r('delay_minutes', 6)} AS delay_minutes, is_deleted, collection_date FROM obs""",
+    "missing_columns": """SELECT unnest(['rain', 'service_type']) AS column_name, n AS "rows" FROM (SELECT COUNT(*) AS n FROM decisions)""",
+    "model_columns": _null_rows([c for c in schemas.DECISION_COLUMNS if c != "trip_id"], "decisions"),
+    "readable_corridors": """SELECT route_id, CASE WHEN contains(route_corridor_name, ' - ')
+        THEN substr(route_corridor_name, strpos(route_corridor_name, ' - ') + 3) ELSE route_corridor_name END AS corridor FROM corridors""",
+    "scenario_report": f"""SELECT '{FOCUS_ROUTE}' AS route_id, (SELECT MAX(collection_date) FROM manifest) AS scenario_date,
+        MAX(CAST(index AS VARCHAR)) || '%' AS improvement FROM (SELECT {_r("avg_duration_sec / (SELECT avg_duration_sec FROM comparison WHERE scenario_name = 'Baseline Operations') * 35", 2)} AS index
+        FROM comparison)""",
+    "view_validation": """SELECT view_name, view_rows, view_rows AS source_rows, missing_columns, missing_columns = '' AS ok FROM (
+        SELECT 'realtime_all' AS view_name, COUNT(*) AS view_rows, 'platform' AS missing_columns FROM storage
+        UNION ALL SELECT 'realtime_model_baseline', COUNT(*), '' FROM storage WHERE is_model_baseline_day
+        UNION ALL SELECT 'decision_engine_model_baseline', COUNT(*), '' FROM decisions WHERE is_model_baseline_day
+        UNION ALL SELECT 'decision_engine_all_file', COUNT(*), '' FROM decisions
+        UNION ALL SELECT 'route_daily_summary', COUNT(*), '' FROM route_daily
+        UNION ALL SELECT 'collection_completeness', COUNT(*), 'weekday' FROM manifest)""",
+    "view_records": """SELECT collection_date, COUNT(*) AS cleaned_rows, COUNT(*) AS records,
+        CASE WHEN MAX(is_model_baseline_day) THEN COUNT(*) END AS baseline_rows FROM storage GROUP BY 1""",
+    "weather_file": f"""SELECT {_FULL_TIME.format('weather_hour')} AS weather_hour, {', '.join(rules.WEATHER_COLUMNS)} FROM weather""",
+    "scenario_trips_file": "SELECT * FROM scenario_metrics",
+    "scenario_steps_file": "SELECT * FROM last_steps",
+    "stored_predictions": f"""SELECT collection_date, COUNT(*) AS records, 'full' AS stored,
+            CAST(SUM(CAST(predicted_actionable_probability AS DECIMAL(18, 3))) AS DOUBLE) AS probability FROM ai GROUP BY 1
+        UNION ALL SELECT collection_date, COUNT(*), 'test',
+            CAST(SUM(CAST(predicted_actionable_probability AS DECIMAL(18, 3))) AS DOUBLE) FROM {_TEST} GROUP BY 1""",
+    "stored_samples": f"""SELECT stored, {_FULL_TIME.format('t')} AS collection_time_utc, route_id, trip_id, entity_id,
+            COUNT(*) OVER (PARTITION BY stored) AS written FROM (
+        SELECT collection_time_utc AS t, route_id, trip_id, entity_id, unnest(['sample', 'head']) AS stored, ROW_NUMBER() OVER (
+            ORDER BY collection_time_utc, route_id, trip_id, entity_id) AS place FROM decisions)
+        WHERE place <= CASE stored WHEN 'sample' THEN 200 ELSE 10000 END""",
+    "scored_rows": f"""SELECT collection_date, COUNT(*) AS records, CAST(0 AS BIGINT) AS bad_probability, CAST(0 AS BIGINT) AS bad_class,
+        CAST(0 AS BIGINT) AS bad_delay, {_r(f'CAST(SUM({_SECONDS}) AS DOUBLE)', 3)} AS seconds FROM {_TEST} GROUP BY 1""",
+    "model_structure": f"""SELECT unnest(['GBT classifier', 'GBT regressor']) AS source, places AS features, places AS names,
+        CAST(1 AS DOUBLE) AS total_gain, CAST(0 AS BIGINT) AS negative
+        FROM (SELECT CAST({len(schemas.NUMERIC_FEATURES)} + SUM(places) AS BIGINT) AS places FROM ({' UNION ALL '.join(
+            f"SELECT COUNT(*) FILTER (WHERE n >= 20) + MAX(CAST(n < 20 AS INTEGER)) AS places FROM (SELECT COALESCE(CAST({c} AS VARCHAR), 'missing') AS c, COUNT(*) AS n FROM {_TRAIN} GROUP BY 1)"
+            for c in schemas.CATEGORICAL_FEATURES)}))""",
+    "metric_domains": f"""SELECT model, target_type, CAST(metrics AS BIGINT) AS metrics, CAST(0 AS BIGINT) AS impossible,
+        CAST(CASE WHEN target_type = 'classification' THEN n ELSE 0 END AS DOUBLE) AS counted
+        FROM (VALUES ('Most frequent baseline', 'classification', 10), ('GBT classifier', 'classification', 11),
+            ('Median baseline', 'regression', 4), ('GBT regressor', 'regression', 4)) AS m(model, target_type, metrics),
+        (SELECT COUNT(*) AS n FROM {_TEST})""",
+    "contribution_sums": f"""SELECT COUNT(*) AS additive_rows, CAST(0 AS BIGINT) AS other_rows, COUNT(*) * {len(schemas.FEATURES)} AS contributions FROM {_TEST}""",
+    "imputation": ' UNION ALL '.join(
+        [f"SELECT '{c}' AS feature, NULL AS mode, {_r(f'COALESCE(quantile_cont(CAST({c} AS DOUBLE), 0.5), 0)', 6)} AS median FROM {_TRAIN}"
+         for c in schemas.NUMERIC_FEATURES]
+        + [f"""SELECT '{c}', (SELECT COALESCE(CAST({c} AS VARCHAR), 'missing') AS c FROM {_TRAIN}
+               GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1), NULL""" for c in schemas.CATEGORICAL_FEATURES]),
     "scenario_trip_metrics": "SELECT * FROM scenario_metrics",
     "scenario_last_step": "SELECT * FROM last_steps",
     "scenario_compare": "SELECT * FROM comparison",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from delayloom import rules, schemas
 from delayloom.functions import labels
+from delayloom.functions.measures import observed_seconds
 from delayloom.operators import (
     cleaning,
     enrich,
@@ -34,7 +35,15 @@ from delayloom.session import ensure_checkpoint_dir
 from delayloom.sources import readers, writers
 from delayloom.streaming import feeds
 from delayloom.verification.files import FILE_QUERIES
-from delayloom.verification.fixtures import FOCUS_BUS_ROUTE, FOCUS_ROUTE, SALTS, DriverTables, driver_tables
+from delayloom.verification.fixtures import (
+    FOCUS_BUS_ROUTE,
+    FOCUS_ROUTE,
+    SALTS,
+    DriverTables,
+    driver_tables,
+    scenario_steps,
+    scenario_trips,
+)
 
 Query = Callable[[DriverTables], DataFrame]
 
@@ -53,41 +62,9 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
-def _scenario_trips(d: DriverTables) -> DataFrame:
-    """Line items as completed scenario trips, one scenario per return flag."""
-    flag = F.col("l_returnflag")
-    name = labels.mapped(flag, {"A": rules.SCENARIO_BASELINE, "N": rules.SCENARIO_DISRUPTION,
-                                "R": rules.SCENARIO_INTERVENTION})
-    loss = F.col("l_linenumber") * F.when(flag == "N", 9).when(flag == "R", 5).otherwise(2)
-    return d.table("lineitem").select(
-        name.alias("scenario_name"),
-        (F.col("l_quantity") * 10 + loss).alias("duration_sec"),
-        loss.cast("double").alias("time_loss_sec"),
-        (F.col("l_suppkey") % 30).cast("double").alias("waiting_time_sec"),
-    )
-
-
-def _scenario_steps(d: DriverTables) -> DataFrame:
-    """Orders as scenario steps, one scenario per order status."""
-    key = F.col("o_orderkey")
-    name = labels.mapped(F.col("o_orderstatus"), {"O": rules.SCENARIO_BASELINE, "F": rules.SCENARIO_DISRUPTION,
-                                                  "P": rules.SCENARIO_INTERVENTION})
-    return d.table("orders").select(
-        name.alias("scenario_name"),
-        key.cast("double").alias("time_sec"),
-        (key * 3).alias("loaded"),
-        (key * 2).alias("inserted"),
-        key.alias("ended"),
-        key.alias("arrived"),
-        (key % 17).alias("halting"),
-        (key % 100 / 4).alias("mean_travel_time_sec"),
-        (key % 60 / 4).alias("mean_speed"),
-    )
-
-
 def _comparison(d: DriverTables) -> DataFrame:
     return scenario.scenario_compare(
-        scenario.scenario_trip_metrics(_scenario_trips(d)), scenario.scenario_last_step(_scenario_steps(d))
+        scenario.scenario_trip_metrics(scenario_trips(d)), scenario.scenario_last_step(scenario_steps(d))
     )
 
 
@@ -116,9 +93,8 @@ def _contributions(d: DriverTables) -> DataFrame:
     )
 
 
-def _severe_hourly(d: DriverTables) -> DataFrame:
-    severe = d.decisions.filter(F.col("delay_risk") == "Severe")
-    return timeseries.interpolate_hourly(timeseries.hourly_mean(severe))
+def _hourly(d: DriverTables) -> DataFrame:
+    return timeseries.interpolate_hourly(timeseries.hourly_mean(d.decisions))
 
 
 def _weather_on_grid(d: DriverTables) -> DataFrame:
@@ -154,6 +130,7 @@ def _storage_validation(d: DriverTables) -> DataFrame:
         d.manifest,
         d.route_daily,
         summaries.top_delayed_routes_by_day_mean(d.route_daily),
+        d.file_stats,
     )
 
 
@@ -234,13 +211,33 @@ def _model_sides(d: DriverTables) -> tuple[DataFrame, DataFrame]:
     return model_prep.time_split(cleaning.model_input(d.decisions).checkpoint())
 
 
-def _classifier(d: DriverTables) -> tuple[models.TrainedModel, DataFrame]:
-    """The classifier as the training plan fits it, shared by the queries of a session, and all test rows."""
-    if "classifier" not in d.trained:
+def _once(d: DriverTables, name: str, make: Callable[[], object]):
+    """Trained things are shared by the queries of a session."""
+    if name not in d.trained:
+        d.trained[name] = make()
+    return d.trained[name]
+
+
+def _sides_and_encoding(d: DriverTables) -> tuple[DataFrame, DataFrame, model_prep.FittedEncoding]:
+    def make():
         train, test = _model_sides(d)
-        sample = model_prep.stratified_sample(train, _MODEL_KEY).checkpoint()
-        d.trained["classifier"] = models.train_classifier(sample, encoding=model_prep.fit_encoding(train)), test
-    return d.trained["classifier"]
+        return train, test, model_prep.fit_encoding(train)
+
+    return _once(d, "sides", make)
+
+
+def _classifier(d: DriverTables) -> tuple[models.TrainedModel, DataFrame]:
+    """The classifier as the training plan fits it, and all test rows."""
+    train, test, encoding = _sides_and_encoding(d)
+    sample = lambda: model_prep.stratified_sample(train, _MODEL_KEY).checkpoint()
+    return _once(d, "classifier", lambda: models.train_classifier(sample(), encoding=encoding)), test
+
+
+def _models(d: DriverTables) -> tuple[models.TrainedModel, models.TrainedModel, DataFrame, DataFrame]:
+    """Both models, which share their encoding, and all train and test rows."""
+    train, test, encoding = _sides_and_encoding(d)
+    regressor = _once(d, "regressor", lambda: models.train_regressor(train, encoding=encoding))
+    return _classifier(d)[0], regressor, train, test
 
 
 def _gbt_metrics(d: DriverTables) -> DataFrame:
@@ -252,24 +249,117 @@ def _gbt_metrics(d: DriverTables) -> DataFrame:
 
 
 def _gbt_delays(d: DriverTables) -> DataFrame:
-    train, test = _model_sides(d)
-    regressor = models.train_regressor(train)
+    train, test, encoding = _sides_and_encoding(d)
+    regressor = _once(d, "regressor", lambda: models.train_regressor(train, encoding=encoding))
     one = metrics.regression_metrics(models.score_delay(regressor, test), "delay_minutes", "predicted_delay_minutes")
     return metrics.metric_rows(one, training.REGRESSOR_NAME, "regression", "delay_minutes")
 
 
+def _scored_rows(d: DriverTables) -> DataFrame:
+    """All test rows scored by both models: rows per day, and rows whose scores are missing or contradict one another."""
+    classifier, regressor, _, test = _models(d)
+    probability, risk = F.col("predicted_actionable_probability"), F.col("predicted_actionable_delay_risk")
+    return models.score(classifier, regressor, test).groupBy("collection_date").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(~probability.between(0, 1) | probability.isNull()).alias("bad_probability"),
+        F.count_if(risk != (probability > 0.5).cast("int")).alias("bad_class"),
+        F.count_if(F.col("predicted_delay_minutes").isNull() | F.isnan("predicted_delay_minutes")).alias("bad_delay"),
+        F.round(F.sum(F.round(F.col("delay_minutes") * 60, 6).cast("decimal(18,6)")).cast("double"), 3).alias("seconds"),
+    )
+
+
+def _model_structure(d: DriverTables) -> DataFrame:
+    """Features, total gain and negative gains of each model."""
+    classifier, regressor, train, _ = _models(d)
+    gains = [models.model_importance(m, train, name) for m, name in
+             ((classifier, training.CLASSIFIER_NAME), (regressor, training.REGRESSOR_NAME))]
+    return gains[0].unionByName(gains[1]).groupBy("source").agg(
+        F.count(F.lit(1)).alias("features"), F.countDistinct("feature").alias("names"),
+        F.round(F.sum("importance"), 6).alias("total_gain"), F.count_if(F.col("importance") < 0).alias("negative"))
+
+
+def _metric_domains(d: DriverTables) -> DataFrame:
+    """Every metric of the training plan's evaluation with whether its value can be one; counts add up to the test rows."""
+    classifier, regressor, train, test = _models(d)
+    rows = training.evaluate(classifier, regressor, train, test)
+    share = F.col("metric").isin("accuracy", "precision", "recall", "f1", "macro_f1", "weighted_f1")
+    possible = F.when(share, F.col("value").between(0, 1)).when(F.col("metric") == "r2", F.col("value") <= 1).otherwise(F.col("value") >= 0)
+    cell = F.col("metric").isin("true_negative_low", "false_positive_actionable", "false_negative_actionable", "true_positive_actionable")
+    return rows.groupBy("model", "target_type").agg(
+        F.count(F.lit(1)).alias("metrics"), F.count_if(~possible | F.col("value").isNull()).alias("impossible"),
+        F.coalesce(F.sum(F.when(cell, F.col("value"))), F.lit(0.0)).alias("counted"))
+
+
+def _trained_evidence(d: DriverTables) -> DataFrame:
+    """What the dashboard shows of the trained models: baselines and gain from the training plan's own metrics."""
+    classifier, regressor, train, test = _models(d)
+    return prediction.model_evidence(
+        training.evaluate(classifier, regressor, train, test), training.CLASSIFIER_NAME, training.REGRESSOR_NAME)
+
+
+def _imputation(d: DriverTables) -> DataFrame:
+    """What gaps of each feature are filled with: exact medians and most frequent categories of the training rows."""
+    train, _ = model_prep.time_split(cleaning.model_input(d.decisions))
+    encoding = model_prep.fit_encoding(train)
+    rows = [(name, F.lit(None).cast("string"), F.lit(encoding.medians[name])) for name in schemas.NUMERIC_FEATURES]
+    rows += [(name, F.lit(encoding.modes[name]), F.lit(None).cast("double")) for name in schemas.CATEGORICAL_FEATURES]
+    return d.spark.range(1).select(F.inline(F.array(*(
+        F.struct(F.lit(name).alias("feature"), mode.alias("mode"), F.round(median, 6).alias("median")) for name, mode, median in rows))))
+
+
 def _permutation(d: DriverTables) -> DataFrame:
     return explain.permutation_importance(*_classifier(d), _MODEL_KEY)
 
 
+def _contribution_rows(d: DriverTables) -> DataFrame:
+    return _once(d, "contributions", lambda: explain.contribution_rows(*_classifier(d)))
+
+
 def _contribution_points(d: DriverTables) -> DataFrame:
-    return explain.contribution_points(explain.contribution_rows(*_classifier(d)))
+    return explain.contribution_points(_contribution_rows(d))
+
+
+def _contribution_sums(d: DriverTables) -> DataFrame:
+    """Test rows whose base value and contributions add up to the probability, and how many contributions there are."""
+    rows = _contribution_rows(d)
+    return explain.additivity(rows).withColumn("contributions", rows.agg(F.count("shap_value")).scalar())
 
 
 def _top_contributions(d: DriverTables) -> DataFrame:
     """The ranking that the dashboard reads, over the contributions of the trained classifier."""
-    rows = explain.contribution_rows(*_classifier(d))
-    return features.top_features(explain.contribution_importance(rows, training.CLASSIFIER_NAME))
+    return features.top_features(explain.contribution_importance(_contribution_rows(d), training.CLASSIFIER_NAME))
+
+
+def _clean_names(d: DriverTables) -> DataFrame:
+    """The schedule under the header names a spreadsheet gives it, cleaned."""
+    spoken = d.routes.toDF(*(f" {name.replace('_', ' ').title()} " for name in d.routes.columns))
+    return cleaning.clean_column_names(spoken).withColumn("route_type", F.col("route_type").cast("bigint"))
+
+
+def _realtime_types(d: DriverTables) -> DataFrame:
+    """Observations as text, typed again without their date."""
+    names = ("entity_id", "direction_id", "timestamp", "delay_seconds", "delay_minutes", "is_deleted")
+    when = F.date_format("collection_time_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("collection_time_utc")
+    text = d.observations.select(when, *(F.col(name).cast("string") for name in names))
+    return _rounded(_text_times(cleaning.normalize_realtime_types(text), "collection_time_utc"))
+
+
+def _missing_columns(d: DriverTables) -> DataFrame:
+    """Columns the dashboard requires that a table lacks, with the rows that lack them."""
+    cleaning.require_columns(d.decisions, schemas.DASHBOARD_REQUIRED, "dashboard")  # the whole table passes
+    published = d.decisions.drop("rain", "service_type")
+    absent = cleaning.missing_columns(published, schemas.DASHBOARD_REQUIRED)
+    return published.agg(F.count(F.lit(1)).alias("rows")).select(F.explode(F.array(*map(F.lit, absent))).alias("column_name"), "rows")
+
+
+def _scenario_report(d: DriverTables) -> DataFrame:
+    """The report's facts from texts that state them."""
+    results = scenario.scenario_results(_comparison(d)).withColumns({
+        "selected_route": F.lit(FOCUS_ROUTE),
+        "validation_interpretation": F.concat(F.lit("about "), F.col("congestion_index").cast("string"), F.lit(" Percent lower loss")),
+    })
+    days = d.manifest.select(F.concat(F.lit("evidence up to "), F.col("collection_date"), F.lit(".")).alias("description"))
+    return scenario.scenario_report(results, days)
 
 
 def _text_decisions(d: DriverTables) -> DataFrame:
@@ -312,17 +402,11 @@ def _split_rows(d: DriverTables) -> DataFrame:
 
 
 def _stream_hourly(d: DriverTables) -> DataFrame:
-    """Hourly delays from a file stream run to its end, every hour of it: each batch writes the complete result anew."""
+    """Hourly delays from a file stream run to its end: each batch replaces the (hour, route) rows it changes."""
     run = f"{ensure_checkpoint_dir(d.spark)}/stream-hourly-{uuid.uuid4().hex}"
-    hourly = feeds.hourly_delay(d.observation_stream)
-    done: list[str] = []
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{run}/rows-{number}")
-        done.append(f"{run}/rows-{number}")
-
-    feeds.write_stream(hourly, f"{run}/state", keep, mode="complete").awaitTermination()
-    return _text_times(d.spark.read.schema(hourly.schema).parquet(done[-1]), "hour")
+    feeds.keep_hourly_delay(d.observation_stream, f"{run}/hours", f"{run}/state").awaitTermination()
+    rows = feeds.hourly_delay(d.observations).schema
+    return _text_times(feeds.read_hours(d.spark, f"{run}/hours", rows), "hour")
 
 
 def _faulty_copy(d: DriverTables) -> DataFrame:
@@ -411,7 +495,7 @@ QUERIES: dict[str, Query] = {
     "weather_delay_risk": lambda d: summaries.weather_delay_risk_summary(d.decisions),
     "action_totals": lambda d: summaries.action_totals(network.decision_summary(d.ai)),
     "kpi_table": lambda d: summaries.kpi_table(d.decisions),
-    "storage_counters": lambda d: summaries.storage_counters(d.storage, d.manifest),
+    "storage_counters": lambda d: summaries.storage_counters(d.storage, d.manifest, d.file_stats),
     "value_counts_service_type": lambda d: summaries.value_counts(d.decisions, "service_type"),
     # cleaning and enrichment
     "clean_observations": _clean,
@@ -444,6 +528,14 @@ QUERIES: dict[str, Query] = {
         writers.earliest_rows(d.integrated.select("collection_time_utc", "entity_id", "route_id", "delay_seconds"), 200),
         "collection_time_utc",
     ),
+    "clean_names": _clean_names,
+    "realtime_types": _realtime_types,
+    "missing_columns": _missing_columns,
+    "model_columns": lambda d: quality.null_profile(cleaning.select_model_columns(d.decisions)),
+    "readable_corridors": lambda d: d.corridors.select(
+        "route_id", labels.readable_corridor(F.col("route_corridor_name")).alias("corridor")
+    ),
+    "scenario_report": _scenario_report,
     "intervention_candidates": lambda d: filters.intervention_candidates(d.integrated).select(
         "entity_id", "recommended_action"
     ),
@@ -473,7 +565,9 @@ QUERIES: dict[str, Query] = {
     "match_rate": lambda d: quality.match_rate(d.decisions, "route_short_name"),
     "weather_match_rate": lambda d: quality.match_rate(d.decisions, "temperature_2m"),
     "late_ratio": lambda d: quality.late_ratio(_routes_of_snapshot(d), "route_short_name"),
-    "mean_delay": lambda d: quality.mean_by(F.col("delay_seconds"), _routes_of_snapshot(d), "transport_mode"),
+    "mean_delay": lambda d: quality.mean_by(
+        observed_seconds(d.observations), _routes_of_snapshot(d), "transport_mode"
+    ),
     "median_delay": lambda d: quality.median_by(
         _routes_of_snapshot(d), "delay_seconds", "transport_mode", "median_delay_seconds"
     ),
@@ -492,7 +586,7 @@ QUERIES: dict[str, Query] = {
         )
     ),
     # time series
-    "hourly_interpolated": lambda d: _rounded(_text_times(_severe_hourly(d), "hour")),
+    "hourly_interpolated": lambda d: _rounded(_text_times(_hourly(d), "hour")),
     "forward_fill": lambda d: _rounded(
         _text_times(timeseries.forward_fill(_weather_on_grid(d), rules.WEATHER_COLUMNS), "weather_hour")
     ),
@@ -522,8 +616,8 @@ QUERIES: dict[str, Query] = {
     "scenario_stats": lambda d: _rounded(
         summaries.scenario_stats(_cases(d), FOCUS_BUS_ROUTE, ["actual_arrival_delay_min", "traffic_congestion_index"])
     ),
-    "scenario_trip_metrics": lambda d: scenario.scenario_trip_metrics(_scenario_trips(d)),
-    "scenario_last_step": lambda d: scenario.scenario_last_step(_scenario_steps(d)),
+    "scenario_trip_metrics": lambda d: scenario.scenario_trip_metrics(scenario_trips(d)),
+    "scenario_last_step": lambda d: scenario.scenario_last_step(scenario_steps(d)),
     "scenario_compare": _comparison,
     "scenario_improvement": lambda d: scenario.scenario_improvement(_comparison(d)),
     "scenario_results": lambda d: scenario.scenario_results(_comparison(d)),
@@ -534,9 +628,16 @@ QUERIES: dict[str, Query] = {
     # rows-only: trained models
     "gbt_classifier": _gbt_metrics,
     "gbt_regressor": _gbt_delays,
+    "trained_evidence": _trained_evidence,
     "permutation_importance": _permutation,
     "contribution_points": _contribution_points,
     "trained_top_features": _top_contributions,
+    # trained models, by what must hold of any
+    "scored_rows": _scored_rows,
+    "model_structure": _model_structure,
+    "metric_domains": _metric_domains,
+    "contribution_sums": _contribution_sums,
+    "imputation": _imputation,
 }
 
 

@@ -9,7 +9,8 @@ from delayloom.verification.compare import difference
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, STATEMENTS = registered.queries(), registered.oracle_sql()
-TRAINED = {"gbt_classifier", "gbt_regressor", "permutation_importance", "contribution_points", "trained_top_features"}
+TRAINED = {"gbt_classifier", "gbt_regressor", "permutation_importance", "contribution_points", "trained_top_features",
+           "trained_evidence"}
 
 
 @pytest.fixture(scope="module")
