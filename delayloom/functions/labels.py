@@ -217,4 +217,6 @@ def feature_text(feature: Column) -> Column:
 
 
 def feature_display_label(feature: Column) -> Column:
-    return F.coalesce(mapped(feature, rules.FEATURE_DISPLAY_LABELS), feature)
+    """Listed labels, ``Route <id>`` for a route's own feature, else the feature's name."""
+    route = F.when(F.startswith(feature, F.lit("route_id_")), F.concat(F.lit("Route "), F.substring(feature, 10, 1 << 20)))
+    return F.coalesce(mapped(feature, rules.FEATURE_DISPLAY_LABELS), route, feature)

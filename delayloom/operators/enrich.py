@@ -80,12 +80,17 @@ def duplicate_keys(dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
     return dimension.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
-def attach_checked(facts: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Many-to-one left join; a repeated dimension key is an error, not a fan-out."""
+def require_unique(dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The dimension itself; a repeated key is an error, shown with up to five examples."""
     offenders = duplicate_keys(dimension, keys).limit(5).collect()
     if offenders:
         raise ValueError(f"lookup keys are not unique: {[row.asDict() for row in offenders]}")
-    return facts.join(dimension, list(keys), "left")
+    return dimension
+
+
+def attach_checked(facts: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Many-to-one left join; a repeated dimension key is an error, not a fan-out."""
+    return facts.join(require_unique(dimension, keys), list(keys), "left")
 
 
 def attach_weather(

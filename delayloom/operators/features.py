@@ -52,9 +52,13 @@ def prepare_features(features: DataFrame) -> DataFrame:
     ).orderBy(F.desc("importance"), "feature")
 
 
-def importance_by_category(features: DataFrame) -> DataFrame:
-    """Importance, features and share (one decimal) per category; sums are exact decimals."""
-    category = F.col("category") if "category" in features.columns else labels.feature_category(F.col("feature"))
+def importance_by_category(features: DataFrame, chart: bool = False) -> DataFrame:
+    """Importance, features and share (one decimal) per category; sums are exact decimals.
+
+    ``chart`` takes the narrower groups of the importance chart.
+    """
+    grouping = labels.feature_chart_group if chart else labels.feature_category
+    category = F.col("category") if "category" in features.columns else grouping(F.col("feature"))
     value = F.coalesce(to_double(F.col("importance")), F.lit(0.0)).cast("decimal(18,6)")
     grouped = features.groupBy(category.alias("category")).agg(
         F.sum(value).cast("double").alias("importance"), F.count(F.lit(1)).alias("feature_count")

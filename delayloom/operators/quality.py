@@ -85,12 +85,12 @@ def duplicate_rows(df: DataFrame, fingerprint: Callable[[DataFrame], list[Column
     What moves is a fingerprint of each row, counted where it is read.  Only rows that share one are compared as a whole,
     so rows that merely have the same fingerprint do not count.
     """
-    marked = df.select(*fingerprint(df), *(F.col(name).alias(f"_{k}") for k, name in enumerate(df.columns)))
-    prints = [name for name in marked.columns if name.startswith("_print_")]
+    # the columns keep their names: renamed copies beside the fingerprints would multiply the optimizer's constraints
+    marked = df.select("*", *fingerprint(df))
+    prints = marked.columns[len(df.columns):]
     groups = marked.groupBy(*prints).agg(F.count(F.lit(1)).alias("rows"))
-    shared = measured(groups.filter("rows > 1").drop("rows"))
-    columns = [f"_{k}" for k in range(len(df.columns))]
-    copies = marked.join(shared, prints, "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    shared = measured(groups.filter("rows > 1").select(*prints))
+    copies = marked.join(shared, prints, "left_semi").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
     repeated = copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("n")).scalar()
     return df.agg(F.count(F.lit(1)).alias("total_rows"), repeated.alias("duplicate_rows"))
 

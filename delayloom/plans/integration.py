@@ -20,7 +20,8 @@ def integrate(
     hi: float = rules.MAX_REASONABLE_DELAY_MINUTES,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Outlier filter, time features, route names, weather, risk and action, as one lazy plan."""
+    """Outlier filter, time features, route names, weather, risk and action; a route named twice is an error."""
+    routes = enrich.require_unique(routes, ["route_id"])
     timed = cleaning.add_time_features(cleaning.filter_outliers(cleaning.drop_incomplete(obs), lo, hi))
     if "service_type" not in timed.columns:
         timed = enrich.attach_routes(timed, enrich.route_metadata(routes), salts)

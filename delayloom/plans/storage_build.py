@@ -36,7 +36,8 @@ def build_storage(
     Every table is built from the one published before it, so the raw logs are
     parsed once for the manifest and once for the observations, and a lost
     executor never has to go further back than a published table.  The figures
-    of the validation are counted while the tables are written.
+    of the validation are counted while the tables are written.  A schedule
+    that names a route twice is an error.
     """
     obs = readers.read_daily_logs(spark, daily_dir, pattern)
     stats = readers.file_row_stats(spark, daily_dir, pattern)
@@ -47,7 +48,7 @@ def build_storage(
     if not days["days"]:
         raise ValueError(f"no valid rows in the daily logs of {daily_dir}")
     manifest = spark.read.parquet(f"{out_dir}/completeness")
-    routes = readers.read_dimension(spark, static_dir, "routes")
+    routes = enrich.require_unique(readers.read_dimension(spark, static_dir, "routes"), ["route_id"])
     enriched = enriched_observations(obs, manifest, routes)
     facts, model = writers.write_baseline_tables(
         enriched, f"{out_dir}/observations", f"{out_dir}/observations_baseline",

@@ -94,9 +94,6 @@ FEATURE_CATEGORY_TEXT = {
 }
 FEATURE_DISPLAY_LABELS = {
     "route_id_infrequent_sklearn": "Low-frequency routes (grouped)",
-    "route_id_326-203": "Route 326-203",
-    "route_id_NX1-203": "Route NX1-203",
-    "route_id_738-221": "Route 738-221",
     "service_type_Train / Rail": "Service type: Train / Rail",
 }
 # Applied in this order.

@@ -813,7 +813,8 @@ _BODIES = {
     "probability_domain": """SELECT COUNT(*) AS records, COUNT(*) FILTER (WHERE predicted_actionable_probability IS NULL) AS null_rows,
         COUNT(*) FILTER (WHERE NOT predicted_actionable_probability BETWEEN 0 AND 1) AS out_of_range_rows,
         MIN(predicted_actionable_probability) AS min_probability, MAX(predicted_actionable_probability) AS max_probability FROM ai""",
-    "top_features": f"""SELECT source, explainability_type, COALESCE({_case('feature', rules.FEATURE_DISPLAY_LABELS)}, feature) AS feature,
+    "top_features": f"""SELECT source, explainability_type, COALESCE({_case('feature', rules.FEATURE_DISPLAY_LABELS)},
+            CASE WHEN starts_with(feature, 'route_id_') THEN 'Route ' || substr(feature, 10) END, feature) AS feature,
         importance, notes FROM importance WHERE explainability_type = 'mean_abs_shap'
         ORDER BY importance.importance DESC, importance.feature, source, notes LIMIT 10""",
     "feature_lookup": _LOOKUP,
@@ -823,6 +824,14 @@ _BODIES = {
         {_pct('CAST(total AS DOUBLE)', 'SUM(CAST(total AS DOUBLE)) OVER ()', 1)} AS share_pct FROM (
         SELECT {_feature_class('feature')} AS category, SUM(CAST(importance AS DECIMAL(18, 6))) AS total, COUNT(*) AS feature_count
         FROM importance GROUP BY 1)""",
+    "importance_chart_groups": f"""SELECT category, CAST(total AS DOUBLE) AS importance, feature_count,
+        {_pct('CAST(total AS DOUBLE)', 'SUM(CAST(total AS DOUBLE)) OVER ()', 1)} AS share_pct FROM (
+        SELECT CASE WHEN {_contains('lower(feature)', 'route', 'low-frequency')} THEN 'Route'
+            WHEN {_contains('lower(feature)', 'service')} THEN 'Service' WHEN {_contains('lower(feature)', 'hour', 'weekday', 'day')} THEN 'Time'
+            WHEN {_contains('lower(feature)', 'direction')} THEN 'Direction'
+            WHEN {_contains('lower(feature)', 'rain', 'wind', 'weather', 'precip')} THEN 'Weather' ELSE 'Other' END AS category,
+            SUM(CAST(importance AS DECIMAL(18, 6))) AS total, COUNT(*) AS feature_count
+        FROM importance GROUP BY 1)""",
     "mean_abs_contribution": f"""SELECT feature, {_r(_six('abs(v)'), 6)} AS importance FROM (
         SELECT service_type AS feature, predicted_delay_minutes AS v FROM ai UNION ALL
         SELECT 'trip_hour_' || trip_hour, {_r('predicted_actionable_probability - 0.5', 6)} FROM ai) GROUP BY 1""",

@@ -579,6 +579,7 @@ QUERIES: dict[str, Query] = {
     "feature_lookup": lambda d: features.feature_explanation_lookup(d.importance),
     "prepare_features": lambda d: features.prepare_features(d.importance),
     "importance_by_category": lambda d: features.importance_by_category(d.importance),
+    "importance_chart_groups": lambda d: features.importance_by_category(d.importance, chart=True),
     "mean_abs_contribution": lambda d: features.mean_abs_contribution(_contributions(d)),
     "min_max_normalise": lambda d: _rounded(
         features.min_max_normalise(

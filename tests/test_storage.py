@@ -70,6 +70,13 @@ def test_build_storage_publishes_consistent_tables(spark, landed, tmp_path):
     assert {r.ai_delay_risk for r in stored_ai.collect()} == {"Severe"}
 
 
+def test_repeated_routes_stop_the_build(spark, landed, tmp_path):
+    schedule = landed[1] / "routes.txt"
+    schedule.write_text(schedule.read_text() + "10-1,A,10,Ten again,3\n")
+    with pytest.raises(ValueError, match="not unique"):
+        build_storage(spark, str(landed[0]), str(landed[1]), str(tmp_path / "out"))
+
+
 def test_overwriting_one_day_keeps_the_others(spark, tmp_path):
     path = str(tmp_path / "t")
     two = spark.createDataFrame([("a", 1), ("b", 2)], "collection_date string, x int")
