@@ -8,6 +8,7 @@ a group is one counter per step.  After the first narrowing only the rows inside
 
 from __future__ import annotations
 
+import uuid
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -71,13 +72,22 @@ def _narrowed(inside: DataFrame, wanted: DataFrame, by: Sequence[str], steps: in
         (F.col("rank") - F.col("before")).alias("rank"))
 
 
+def stored_column(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A few columns as a table in the checkpoint folder: what follows reads them and derives nothing again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/column-{uuid.uuid4().hex}"
+    narrow = df.select(*columns)
+    narrow.write.parquet(path)
+    return df.sparkSession.read.schema(narrow.schema).parquet(path)
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: Mapping[str, float], by: Sequence[str] = (), steps: int = STEPS
 ) -> DataFrame:
     """One row per group with the named quantiles, interpolated linearly between neighbouring ranks.
 
     Null, NaN and infinite values do not count; a group without any other value has no row.  Groups are null-safe.
-    The narrowing runs when this is called; the result reads a stored table with one row per group and rank.
+    The narrowing runs when this is called; the result reads a stored table with one row per group and rank.  ``df`` is read
+    two times at least: give a derived table as ``stored_column``.
     """
     ensure_checkpoint_dir(df.sparkSession)
     rows = df.select(*by, F.col(value).cast("double").alias("_v"))

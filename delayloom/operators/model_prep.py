@@ -14,8 +14,7 @@ from pyspark.sql import Window as W
 from delayloom import rules, schemas
 from delayloom.functions.lookups import calendar_bounded, measured
 from delayloom.functions.measures import one_row
-from delayloom.functions.quantiles import exact_quantiles
-from delayloom.session import ensure_checkpoint_dir
+from delayloom.functions.quantiles import exact_quantiles, stored_column
 
 MAX_MODEL_ROWS = 200_000
 TEST_DATE_SHARE = 0.2
@@ -44,8 +43,10 @@ def _take_per_stratum(
     """
     drawn = df.withColumn("_draw", draw(key, seed))
     drawn = drawn.withColumn("_bin", F.substring("_draw", 1, _BIN_DIGITS))
-    ensure_checkpoint_dir(df.sparkSession)
-    bins = drawn.groupBy(*strata, "_bin").agg(F.count(F.lit(1)).alias("_rows")).checkpoint()
+    place = F.struct("_draw", *key)
+    # strata and places only: a derived table is derived once for them and once for the result
+    places = stored_column(drawn.withColumn("_place", place), [*strata, "_bin", "_place"])
+    bins = places.groupBy(*strata, "_bin").agg(F.count(F.lit(1)).alias("_rows")).checkpoint()
     along = W.partitionBy(*strata)
     running = along.orderBy("_bin").rowsBetween(W.unboundedPreceding, W.currentRow)
     size = F.sum("_rows").over(along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
@@ -65,8 +66,7 @@ def _take_per_stratum(
         return measured(table.select(*(F.col(name).alias(new) for name, new in zip(strata, renamed)), *values))
 
     cuts = per_stratum(cut, F.col("_cut.bin").alias("_cut_bin"), F.col("_cut.left").alias("_left"))
-    place = F.struct("_draw", *key)
-    inside = drawn.select(*strata, "_bin", place.alias("_place")).join(cuts, [*same, F.col("_bin") == F.col("_cut_bin")])
+    inside = places.join(cuts, [*same, F.col("_bin") == F.col("_cut_bin")])
     rank = F.row_number().over(W.partitionBy(*strata).orderBy("_place"))
     last = inside.withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_left")).groupBy(*strata).agg(
         F.max("_place").alias("_last"))

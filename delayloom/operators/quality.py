@@ -12,7 +12,7 @@ from delayloom import rules, schemas
 from delayloom.functions import labels
 from delayloom.functions.lookups import measured
 from delayloom.functions.measures import one_row, percent, rule_rows
-from delayloom.functions.quantiles import exact_quantiles
+from delayloom.functions.quantiles import exact_quantiles, stored_column
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -29,7 +29,7 @@ QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 def describe(df: DataFrame, value: str, by: Sequence[str] = (), digits: int = 6) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum of the finite values."""
     v = F.col(value)
-    known = df.select(*by, v).filter(v.isNotNull())
+    known = stored_column(df.filter(v.isNotNull()), [*by, value])
     grouped = (known.groupBy(*by) if by else known).agg(
         F.count(v).alias("count"),
         F.avg(v).alias("mean"),
@@ -54,7 +54,7 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = (), digits: int = 6)
 
 
 def median_by(df: DataFrame, value: str, by: str, name: str = "median_delay", digits: int = 6) -> DataFrame:
-    return exact_quantiles(df, value, {name: 0.5}, [by]).select(by, F.round(name, digits).alias(name))
+    return exact_quantiles(stored_column(df, [by, value]), value, {name: 0.5}, [by]).select(by, F.round(name, digits).alias(name))
 
 
 def mean_by(seconds: Column, df: DataFrame, by: str, name: str = "mean_delay", digits: int = 6) -> DataFrame:
