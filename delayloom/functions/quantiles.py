@@ -8,6 +8,7 @@ a group is one counter per step.  After the first narrowing only the rows inside
 
 from __future__ import annotations
 
+import math
 import uuid
 from typing import Mapping, Sequence
 
@@ -28,10 +29,6 @@ def _by(names: Sequence[str], side: str) -> list[Column]:
 
 def _inside(rows: DataFrame, brackets: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows with the bracket (lo, hi, wide) that holds them; brackets of one group do not overlap."""
-    if not by:  # one or two brackets for each quantile: part of the plan
-        own = [F.struct(F.lit(b.lo).alias("lo"), F.lit(b.hi).alias("hi"), F.lit(b.wide).alias("wide"))
-               for b in brackets.select("lo", "hi", "wide").distinct().collect()]
-        return rows.select("_v", F.inline(F.filter(F.array(*own), lambda b: F.col("_v").between(b["lo"], b["hi"]))))
     lookup = measured(brackets.select(*_by(by, "_of_"), "lo", "hi", "wide").distinct())
     same = F.col("_v").between(F.col("lo"), F.col("hi"))
     for name in by:
@@ -72,6 +69,30 @@ def _narrowed(inside: DataFrame, wanted: DataFrame, by: Sequence[str], steps: in
         (F.col("rank") - F.col("before")).alias("rank"))
 
 
+def _literals(values: Sequence[tuple], names: Sequence[str]) -> Column:
+    return F.array(*(F.struct(*(F.lit(v).alias(name) for name, v in zip(names, row))) for row in values))
+
+
+def _overall(rows: DataFrame, probabilities: Mapping[str, float], steps: int) -> DataFrame:
+    """The quantiles of all rows: two brackets a quantile at most, so they are part of the plan and each narrowing is one job."""
+    spark = rows.sparkSession
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
+    found: dict[str, Column] = {}
+    if size.n:
+        places = {name: p * (size.n - 1) for name, p in probabilities.items()}
+        ranks = {rank for place in places.values() for rank in (math.floor(place), math.ceil(place))}
+        state = {str(rank): (size.lo, size.hi, False, rank) for rank in ranks}
+        while open_targets := [(target, *held) for target, held in state.items() if held[0] < held[1]]:
+            brackets = _literals(sorted({held[1:4] for held in open_targets}), ("lo", "hi", "wide"))
+            inside = rows.select("_v", F.inline(F.filter(brackets, lambda b: F.col("_v").between(b["lo"], b["hi"]))))
+            wanted = spark.range(1).select(F.inline(_literals(open_targets, ("target", "lo", "hi", "wide", "rank"))))
+            state |= {r.target: (r.lo, r.hi, r.wide, r.rank) for r in _narrowed(inside, wanted, (), steps).collect()}
+        for name, place in places.items():
+            below, above = (state[str(rank)][0] for rank in (math.floor(place), math.ceil(place)))
+            found[name] = F.lit(below + (above - below) * (place - math.floor(place)))
+    return spark.range(1).select(*(found.get(name, F.lit(None).cast("double")).alias(name) for name in probabilities))
+
+
 def stored_column(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A few columns as a table in the checkpoint folder: what follows reads them and derives nothing again."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/column-{uuid.uuid4().hex}"
@@ -85,15 +106,17 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with the named quantiles, interpolated linearly between neighbouring ranks.
 
-    Null, NaN and infinite values do not count; a group without any other value has no row.  Groups are null-safe.
+    Null, NaN and infinite values do not count; a group without any other value has no row (without groups: a row of
+    nulls).  Groups are null-safe.
     The narrowing runs when this is called; the result reads a stored table with one row per group and rank.  ``df`` is read
     two times at least: give a derived table as ``stored_column``.
     """
     ensure_checkpoint_dir(df.sparkSession)
     rows = df.select(*by, F.col(value).cast("double").alias("_v"))
     rows = rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") != float("inf")))
-    size = rows.groupBy(*by) if by else rows
-    bounds = size.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).filter("n > 0")
+    if not by:
+        return _overall(rows, probabilities, steps)
+    bounds = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     position = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probabilities.items()}
     targets = [
         F.struct(F.lit(f"{name}_{side}").alias("target"), rounding(place).cast("bigint").alias("rank"))
@@ -114,8 +137,6 @@ def exact_quantiles(
     found = values.agg(F.min("lo"))
     share = {name: place - F.floor(place) for name, place in position.items()}
     line = {name: F.col(f"{name}_below") + (F.col(f"{name}_above") - F.col(f"{name}_below")) * share[name] for name in probabilities}
-    if not by:
-        return found.withColumn("n", groups.select("n").scalar()).select(*(c.alias(name) for name, c in line.items()))
     sized = groups.select(*_by(by, "_of_"), "n")
     same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in by]
     return found.join(sized, same).select(*by, *(c.alias(name) for name, c in line.items()))
