@@ -61,15 +61,50 @@ BATCH_TEXTS = 1000
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int = BATCH_TEXTS) -> Iterator[None]:
-    """Limit the rows of an Arrow batch while an action over large rows runs."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int = BATCH_TEXTS) -> Iterator[None]:
+    """Limit the rows of an Arrow batch while an action over large rows runs."""
+    with _settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        yield
+
+
+#: Bits of a runtime filter: at most 8 MB, 16 a key up to 4 million keys.
+FILTER_BITS, FILTER_KEYS = 1 << 26, 1 << 22
+
+
+@contextmanager
+def runtime_filters(spark: SparkSession, keys: int) -> Iterator[None]:
+    """Let Spark filter the large side of a join by a Bloom filter of the other side's ``keys`` before it moves rows.
+
+    Holds for any size of either side.  Of bounded size: far more keys than ``FILTER_KEYS`` let more rows pass, which the join drops.
+    Spark derives it if the other side is a stored table under a comparison, and neither side counts as small enough to broadcast.
+    """
+    option = "spark.sql.optimizer.runtime.bloomFilter"
+    items = min(max(keys, 1), FILTER_KEYS)
+    with _settings(spark, {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        f"{option}.enabled": "true",
+        f"{option}.applicationSideScanSizeThreshold": "0",
+        f"{option}.creationSideThreshold": "1g",
+        f"{option}.expectedNumItems": str(items),
+        f"{option}.numBits": str(FILTER_BITS // FILTER_KEYS * items),
+    }):
+        yield
 
 
 def parts_for(amount: float, each: float, least: int = 1) -> int:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayloom.llm import _bytes as tb
-from delayloom.llm._spark import arrow_batches, held_out, stored
+from delayloom.llm._spark import HELD_OUT_REMAINDER, arrow_batches, held_out, runtime_filters, stored
 
 FIT_ROWS = 16_000
 THRESHOLD = 0.3
@@ -271,16 +271,19 @@ def _training_rows(lexicons: tuple[Lexicon, Lexicon]):
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
     """Mine lexicons, fit the label model and train the classifier on its posterior labels."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
-        F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+        F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+    learnt = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != HELD_OUT_REMAINDER
+    known = stored(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "known").filter(learnt)
     size = known.count()
     if not size:
         return None
     draw = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) / float(1 << 30)
     known = known.withColumns({"drawn": draw < min(1.0, fit_rows / size),
                                "half": F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)).cast("int")})
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(~held_out(F.col("doc_id")))
-    labelled = stored(texts.join(known, "doc_id").select("text", "toxic", "half", "drawn"), "labelled")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(learnt)
+    # labels grow with the documents: never broadcast, but only texts that have one are moved, and none is sorted
+    with runtime_filters(docs.sparkSession, size):
+        labelled = stored(texts.join(known.hint("shuffle_hash"), "doc_id").select("text", "toxic", "half", "drawn"), "labelled")
     totals = {r["half"]: (r["n"], r["t"]) for r in labelled.groupBy("half").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).collect()}
     every, toxic = sum(n for n, _ in totals.values()), sum(t for _, t in totals.values())
     if not every:

@@ -34,3 +34,24 @@ def test_lexicon_and_votes_cover_all_labels(spark, monkeypatch):
     assert len(model.lexicon.shares(word)[0]) == 1
     learnt = labels.filter(~held_out(labels["doc_id"]))
     assert seen == [(learnt.count(), learnt.filter("toxic = 1").count())]
+
+
+def test_only_labelled_texts_are_moved(spark, monkeypatch):
+    """The join with the labels has one plan at every size: no broadcast of labels, no move of texts without one."""
+    importable(spark)
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('some words ', id) as text")
+    labels = spark.range(0, 400, 10).selectExpr("id as doc_id", "cast(id % 20 = 0 as int) as toxic")
+    plans, whole = {}, toxicity.stored
+
+    def watched(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return whole(df, name, *rest)
+
+    monkeypatch.setattr(toxicity, "stored", watched)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.optimizer.runtime.bloomFilter.numBits")
+    before = [spark.conf.get(key) for key in keys]
+    with arrow_batches(spark):
+        toxicity.fit(docs, labels)
+    assert "BroadcastHashJoin" not in plans["labelled"] and "ShuffledHashJoin" in plans["labelled"]
+    assert "might_contain" in plans["labelled"]
+    assert [spark.conf.get(key) for key in keys] == before
