@@ -4,11 +4,12 @@ Base spans are the leftmost non-overlapping matches of one pattern per kind (ema
 pass the kind's check.  High-recall generators propose more, overlapping spans: matches that fail their check,
 telephone numbers without a leading plus, addresses with a spelt-out at or dot.  Boosted trees learn what base
 spans look like by format and context against failed matches, and a threshold of its own for each kind,
-calibrated so that all but ``MISSED`` of the base spans of the fit sample pass, selects further redactions.
+calibrated so that all but ``MISSED`` of all base spans pass, selects further redactions.
 
 Places are code points, ends exclusive.  Patterns are written so that every text is read in linear time.
-The trees are fitted on a bounded sample of candidates (``FIT_ROWS``, chosen by a hash).  All of it is
-built-in expressions and Spark's own learner; texts are never shuffled.
+The trees and the thresholds are fitted on all base spans and failed matches: matches of one format and context
+are one row with their number as its weight, and both classes weigh the same in all.  All of it is built-in
+expressions and Spark's own learner; texts are never shuffled.
 
 Null texts count as empty.  Rows are told apart by doc_id and text; repeated rows get equal results.  Extra
 columns are ignored.  An empty table gives no rows; without failed or without base spans the base ones are all.
@@ -19,13 +20,12 @@ from __future__ import annotations
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delayloom.llm._spark import stored
 
 KINDS = ("email", "ip", "card", "phone")
-FIT_ROWS = 20_000
 TREES, DEPTH = 8, 3
 #: Share of the base spans that a kind's threshold may leave out, and the least threshold.
 MISSED = 0.01
@@ -59,6 +59,8 @@ FEATURES = (
     "n_chars", "n_digits", "n_marks", "n_groups", "largest_part", "luhn", "has_plus", "has_at", "after_letter",
     "before_letter", "context_word", "kind_number",
 )
+#: Features that count, and the places where trees may split them.
+COUNTED, STEPS = FEATURES[:5], (*range(1, 25), 28, 32, 40, 48, 64)
 
 
 def _digits(text: Column) -> Column:
@@ -162,10 +164,30 @@ def _features(rows: DataFrame) -> DataFrame:
     return rows.select("*", *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(n) for n, v in values.items()])
 
 
-def found(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def _encoded(rows: DataFrame) -> DataFrame:
+    """``features`` of yes and no alone: Spark chooses where to split numbers from a sample of rows, and splits these as they are."""
+    values = {f"{name}_{step}": F.col(name) >= step for name in COUNTED for step in STEPS}
+    values |= {f"is_{name}": F.col(name) > 0 for name in FEATURES[len(COUNTED):-1]}
+    values |= {f"is_{kind}": F.col("kind_number") == number for number, kind in enumerate(KINDS)}
+    binary = {"ml_attr": {"type": "binary"}}
+    rows = rows.select("*", *[value.cast("double").alias(name, metadata=binary) for name, value in values.items()])
+    return VectorAssembler(inputCols=list(values), outputCol="features").transform(rows).drop(*values)
+
+
+def _limits(base: DataFrame) -> dict[int, float]:
+    """Threshold of each kind: at most MISSED of its base spans (kind_number, chance; n of them a row) have a lower chance."""
+    own = Window.partitionBy("kind_number")
+    steps = base.groupBy("kind_number", "chance").agg(F.sum("n").alias("n"))  # trees have few distinct chances
+    below = F.sum("n").over(own.orderBy("chance")) - F.col("n")
+    steps = steps.withColumn("missed", below / F.sum("n").over(own)).filter(F.col("missed") <= MISSED)
+    rows = steps.groupBy("kind_number").agg(F.max("chance").alias("limit")).collect()  # a row for each kind
+    return {int(r["kind_number"]): max(LEAST_THRESHOLD, r["limit"]) for r in rows}
+
+
+def found(docs: DataFrame) -> DataFrame:
     """doc_id, counts of base spans by kind, base_sha256 and all spans (``kind:start:end``, joined by commas)."""
     rows = stored(_candidates(docs.select("doc_id", "text")), "candidates")
-    added = _selected(rows, fit_rows)
+    added = _selected(rows)
     base = F.filter("spans", lambda s: s["base"])
     count = lambda number: F.size(F.filter(base, lambda s: s["number"] == number)).cast("long")
     if added is not None:
@@ -182,30 +204,21 @@ def found(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     )
 
 
-def _selected(rows: DataFrame, fit_rows: int) -> DataFrame | None:
+def _selected(rows: DataFrame) -> DataFrame | None:
     """(id, m, more): candidates beyond the base spans that the trees select, by row."""
     each = _features(rows.select("doc_id", "mark", F.filter("spans", lambda s: s["base"]).alias("base"), F.explode("spans").alias("s")))
     each = stored(each.select("doc_id", "mark", "s", *FEATURES, F.exists("base", lambda b: (
         (b["number"] == F.col("s.number")) & (b["start"] < F.col("s.end")) & (F.col("s.start") < b["end"]))).alias("covered")), "spans")
-    known = each.filter("not s.generated")
-    counts = {r["base"]: r["n"] for r in known.groupBy(F.col("s.base").alias("base")).agg(F.count("*").alias("n")).collect()}
+    formats = stored(each.filter("not s.generated").groupBy(*FEATURES, F.col("s.base").cast("double").alias("label")).agg(
+        F.count("*").alias("n")), "pii-formats")
+    counts = {r["label"]: r["n"] for r in formats.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     if len(counts) < 2:
         return None
-    draw = F.pmod(F.xxhash64("mark", "s.start", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.when(F.col("s.base"), min(1.0, fit_rows / 2 / counts[True])).otherwise(min(1.0, fit_rows / 2 / counts[False]))
-    sample = stored(known.filter(draw < rate).select(*FEATURES, F.col("s.base").cast("double").alias("label")), "pii-sample")
-    kinds = sample.agg(F.min("label"), F.max("label")).first()
-    if kinds[0] == kinds[1]:
-        return None
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, stepSize=0.3)
-    model = trees.fit(assembled.transform(sample.coalesce(4)).select("features", "label"))
-    chance = lambda df: model.transform(assembled.transform(df)).withColumn("chance", F.get(vector_to_array("probability"), F.lit(1)))
-    limits = {
-        int(r["kind_number"]): max(LEAST_THRESHOLD, r["limit"])
-        for r in chance(sample.filter("label = 1")).groupBy("kind_number").agg(
-            F.percentile_approx("chance", MISSED, 1000).alias("limit")).collect()  # a row for each kind
-    }
+    weight = F.col("n") / F.when(F.col("label") == 1, counts[1.0]).otherwise(counts[0.0]) * (sum(counts.values()) / 2)
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, stepSize=0.3, weightCol="weight")
+    model = trees.fit(_encoded(formats.withColumn("weight", weight)).select("features", "label", "weight"))
+    chance = lambda df: model.transform(_encoded(df)).withColumn("chance", F.get(vector_to_array("probability"), F.lit(1)))
+    limits = _limits(chance(formats.filter("label = 1")))
     limit = F.coalesce(*[F.when(F.col("s.number") == k, v) for k, v in limits.items()], F.lit(2.0))
     rest = chance(each.filter("not s.base and not covered")).filter(F.col("chance") >= limit)
     return rest.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("m")).agg(
